@@ -476,3 +476,61 @@ ORACLE: dict[str, str] = {
                {_text(_mean('(arrivals - delivered) * 10000', 'arrivals'))} AS repeat_percent
         FROM totals""",
 }
+
+
+def _closed(size: str) -> str:
+    """Windows that have closed when all purchases were seen, 60 s of tolerance kept."""
+    return f"""
+        SELECT * FROM ({_windows(size)})
+        WHERE ws + INTERVAL '{_WIDTH[size]}' <= (
+            SELECT max(ts) - INTERVAL '60 seconds' FROM events WHERE event_type = 'purchase')"""
+
+
+_PURCHASE_LINES = """
+    SELECT event_id, ts, CAST(props->>'$.k' AS INTEGER) % 3 + 1 AS lines
+    FROM events WHERE event_type = 'purchase'"""
+
+ORACLE.update(
+    {
+        "windowed_metrics_stream": _records(
+            " UNION ALL ".join(_filled(size, _closed(size)) for size in _WIDTH)
+        ),
+        "order_count_snapshot_stream": f"""
+            SELECT CAST({AS_OF_MS} - 60000 AS BIGINT) AS "windowStart",
+                   CAST({AS_OF_MS} AS BIGINT) AS "windowEnd", '1m' AS "windowSize",
+                   n AS "orderCount", CAST(total AS VARCHAR) AS "totalRevenue",
+                   {_text(_mean('total * 100', 'n'))} AS "avgOrderValue",
+                   CAST({AS_OF_MS} AS BIGINT) AS "processedAt"
+            FROM ({_snapshots(_PURCHASE_LINES, 'ts, event_id')})""",
+        "sharded_snapshot_stream": """
+            SELECT shard, CAST(n AS BIGINT) AS order_count FROM (
+                SELECT event_id % 3 AS shard,
+                       row_number() OVER (PARTITION BY event_id % 3 ORDER BY ts, event_id) AS n
+                FROM events WHERE event_type = 'purchase')
+            WHERE n % 10 = 0""",
+        "late_split_stream": ORACLE["late_split"],
+        "outbox_relay_stream": f"""{_WITH_OUTBOX}, tries AS (
+                SELECT id, f, CASE WHEN status = 'FAILED' THEN retry_count + 1 ELSE 0 END AS c,
+                       least(3, greatest(f, CASE WHEN status = 'FAILED' THEN retry_count + 1
+                                                 ELSE 0 END)) AS final
+                FROM (SELECT *, {_FAILURES} AS f FROM outbox WHERE {_ELIGIBLE}))
+            SELECT id, CAST(final AS INTEGER) AS retry_count,
+                   CAST(final - c + 1 AS BIGINT) AS attempts,
+                   CASE WHEN f > 3 THEN 'FAILED' ELSE 'PUBLISHED' END AS status,
+                   CASE WHEN f > 3 THEN 'Local_Transport' END AS last_error
+            FROM tries""",
+        "fulfillment_stream": f"""{_WITH_REQ}
+            SELECT code AS key,
+                   CASE WHEN id % 17 = 0 THEN 'skipped'
+                        WHEN id % 11 <> 0 AND id % 13 = 0 THEN 'quarantine'
+                        WHEN kind = 'view' THEN 'dead_letter' ELSE 'fulfilled' END AS outcome
+            FROM req WHERE ok""",
+        "status_apply_stream": ORACLE["status_apply"],
+        "placed_fulfilled_stream_join": """
+            SELECT event_id AS order_short_code, epoch_us(ts) // 1000 AS placed_at_ms,
+                   epoch_us(ts + to_minutes(k)) // 1000 AS fulfilled_at_ms
+            FROM (SELECT event_id, ts, CAST(props->>'$.k' AS INTEGER) AS k
+                  FROM events WHERE event_type = 'purchase')
+            WHERE k <= 60""",
+    }
+)

@@ -9,6 +9,7 @@ from tidemark import config as C
 from tidemark.functions import headers, ids, times
 from tidemark.functions.once import once
 from tidemark.operators import ingest, outbox
+from tidemark.sources import files
 
 # Status letters of the orders table.
 STATUS_LETTERS = {"P": "PENDING", "F": "FULFILLED", "O": "SHIPPED"}
@@ -20,6 +21,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table as a stream. The path is a pattern, so it may be one file or a folder."""
+    schema = table(spark, folder, name).schema
+    return files.stream_files(spark, f"{folder}/{name}.parque[t]", schema)
+
+
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """All events with ``event_time`` as an instant and ``k`` from the properties."""
     return with_instants(table(spark, folder, "events"))

@@ -92,6 +92,20 @@ def start_fulfillment(
     return files.start(messages, write, f"{folder}/offsets", interval)
 
 
+def read_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """``key, outcome`` of every message, from the three tables."""
+
+    def keys(name: str, key: str, outcome: Column) -> DataFrame:
+        rows = spark.read.schema(f"{key} string, outcome string").parquet(f"{folder}/{name}")
+        return rows.select(F.col(key).alias("key"), outcome.alias("outcome"))
+
+    return (
+        keys("fulfilled", "order_short_code", F.lit("fulfilled"))
+        .unionByName(keys("dead_letters", "key", F.lit("dead_letter")))
+        .unionByName(keys("quarantine", "key", F.col("outcome")))
+    )
+
+
 def change_schema(key_field: StructField) -> StructType:
     return StructType([key_field, StructField("old_status", StringType())])
 

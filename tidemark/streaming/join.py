@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.sources import files
 
@@ -42,6 +43,10 @@ def start_join(joined: DataFrame, folder: str, interval: str | None = None):
     return files.start(joined, write, f"{folder}/offsets", interval)
 
 
+def read_joined(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{folder}/joined")
+
+
 def drop_repeats(events: DataFrame, key: str, event_time: str, horizon: str) -> DataFrame:
     """Stream form of the duplicate skip: a repeat within ``horizon`` is dropped."""
     return events.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([key])

@@ -39,4 +39,5 @@ def start_late_split(
 
 def read_split(spark: SparkSession, folder: str) -> DataFrame:
     """On-time and late events; filter on ``is_late`` to read one side only."""
-    return spark.read.parquet(f"{folder}/events")
+    rows = spark.read.parquet(f"{folder}/events")
+    return rows.withColumn("is_late", F.col("is_late").cast("boolean"))

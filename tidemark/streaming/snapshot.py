@@ -57,6 +57,11 @@ def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(SNAPSHOTS).parquet(f"{folder}/snapshots")
 
 
+def read_shards(spark: SparkSession, folder: str) -> DataFrame:
+    schema = StructType([StructField("shard", LongType()), *SNAPSHOTS.fields])
+    return spark.read.schema(schema).parquet(f"{folder}/snapshots")
+
+
 def sharded_snapshots(
     orders: DataFrame, shard: str, lines: str = "item_lines", every: int = 10
 ) -> DataFrame:
