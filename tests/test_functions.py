@@ -101,8 +101,7 @@ GOOD = [
 
 def metadata(spark, pairs):
     now = F.lit(datetime(2024, 2, 1, tzinfo=timezone.utc))
-    read = headers.read_metadata(F.col("headers"), F.lit("fresh"), now)
-    return headers_frame(spark, pairs).select(read.alias("m")).first()["m"]
+    return headers.read_metadata(headers_frame(spark, pairs), F.lit("fresh"), now).first().metadata
 
 
 def test_metadata_complete(spark):

@@ -1,16 +1,21 @@
 """Live queries over several batches, with failures in between, against the batch forms."""
 
+import itertools
 import random
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import config as C
+from tidemark import jobs
 from tidemark.functions import ids
 from tidemark.operators import metrics, ordered, outbox
 from tidemark.plans.queries import as_of, refuse_empty
 from tidemark.schemas import OUTBOX_EVENTS
 from tidemark.sources import files, tables
+from tidemark.sources.messages import decode_placed
 from tidemark.streaming import fulfillment, join, late, relay, snapshot
 from tidemark.streaming import metrics as live
 
@@ -150,10 +155,8 @@ def test_shards_keep_their_own_state_over_a_restart(spark, land, work):
         if extra is not None:
             path_two = land([extra], "more")
             # The same folder gets one more file.
-            import pathlib
-
-            (new,) = pathlib.Path(path_two).glob("*.parquet")
-            (pathlib.Path(path) / "0001.parquet").write_bytes(new.read_bytes())
+            (new,) = Path(path_two).glob("*.parquet")
+            (Path(path) / "0001.parquet").write_bytes(new.read_bytes())
         stream = files.stream_files(spark, path, first.schema)
         files.finish(snapshot.start_sharded_snapshot(stream, "shard", work))
     got = sorted(tuple(r) for r in snapshot.read_shards(spark, work).select("shard", "order_count", "item_lines").collect())
@@ -238,7 +241,7 @@ def test_fulfillment_routes_every_message_once(spark, folder, land, work):
     path = land([numbered.where(F.col("n") % 3 == i).drop("n") for i in range(3)])
     stream = files.stream_files(spark, path, messages.schema, files_per_batch=1)
     files.finish(fulfillment.start_fulfillment(stream, work, as_of(), refuse_empty))
-    routed = fulfillment.route(fulfillment.decode_placed(messages, as_of()), refuse_empty)
+    routed = fulfillment.route(decode_placed(messages, as_of()), refuse_empty)
     assert same(fulfillment.read_outcomes(spark, work), routed.select("key", "outcome"))
     done = spark.read.parquet(f"{work}/fulfilled").first()
     assert done.event_id != done.causation_id
@@ -303,3 +306,52 @@ def test_repeats_are_dropped_in_the_stream(spark, land, work):
 def test_ids_do_not_change_on_replay(spark):
     frame = spark.range(5).select(ids.stable_uuid("outbox", F.col("id")).alias("x"))
     assert same(frame, frame)
+
+
+def test_jobs_from_messages_to_status(spark, folder, land, work):
+    """Outbox rows through all services, topic messages kept in folders."""
+    sent = itertools.count()
+
+    def send(frame):
+        frame.select("topic", "value", *[c for c in ("key", "headers") if c in frame.columns]).write.parquet(
+            f"{work}/topics/{next(sent):04d}"
+        )
+
+    def topic(name):
+        frames = [spark.read.parquet(str(p)) for p in sorted(Path(work, "topics").iterdir())]
+        keyed = [f for f in frames if "key" in f.columns]
+        rows = keyed[0]
+        for frame in keyed[1:]:
+            rows = rows.unionByName(frame)
+        return rows.where(F.col("topic") == name).withColumns(
+            {"partition": F.lit(0), "offset": F.monotonically_increasing_id()}
+        )
+
+    frame = outbox_rows(spark, 20).withColumn("id", ids.stable_uuid("outbox", F.col("id")))
+    accept = lambda rows: rows.withColumn("error", F.lit(None).cast("string"))
+    stream = files.stream_files(spark, land([frame], "outbox"), frame.schema)
+    files.finish(jobs.outbox_relay(stream, f"{work}/relay", accept, interval=None, send=send))
+
+    placed = topic(C.TOPIC_ORDER_PLACED)
+    assert placed.count() == 20
+    path = land([placed], "placed")
+    read = lambda: files.stream_files(spark, path, placed.schema)
+    files.finish(
+        *jobs.order_metrics(read(), f"{work}/metrics", ["1m"], interval=None, send=send),
+        jobs.order_snapshots(read(), f"{work}/snapshots", interval=None),
+        jobs.fulfillment_service(read(), f"{work}/fulfillment", interval=None, send=send),
+    )
+    assert sorted(r.order_count for r in snapshot.read_snapshots(spark, f"{work}/snapshots").collect()) == [10, 20]
+
+    done = topic(C.TOPIC_ORDER_FULFILLED)
+    assert done.count() == 20
+    store = spark.createDataFrame(
+        [(f"o{i}", "PENDING", T0) for i in range(19)],
+        "order_short_code string, status string, updated_at timestamp",
+    )
+    stream = files.stream_files(spark, land([done], "done"), done.schema)
+    files.finish(jobs.order_status(stream, lambda: store, f"{work}/status", interval=None, send=send))
+    changes = fulfillment.read_changes(spark, f"{work}/status", store.schema["order_short_code"])
+    assert changes.count() == 19
+    letters = topic(C.TOPIC_ORDER_DLQ)
+    assert [r.key for r in letters.collect()] == ["o19"]

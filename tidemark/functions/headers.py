@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import config as C
 from tidemark.functions import ids, times
+from tidemark.functions.once import once
 
 
 def pair(key: str, text: Column) -> Column:
@@ -45,40 +46,58 @@ def metadata_headers(
     )
 
 
-def read_metadata(headers: Column, default_id: Column, now: Column) -> Column:
-    """Headers -> struct(event_id, event_version, occurred_at, entity_type, entity_id, state).
+def metadata_texts(headers: Column) -> Column:
+    """The five metadata headers as texts, null where one is missing."""
+    return F.struct(
+        first_value(headers, C.HEADER_EVENT_ID).alias("event_id"),
+        first_value(headers, C.HEADER_EVENT_VERSION).alias("event_version"),
+        first_value(headers, C.HEADER_OCCURRED_AT).alias("occurred_at"),
+        first_value(headers, C.HEADER_ENTITY_TYPE).alias("entity_type"),
+        first_value(headers, C.HEADER_ENTITY_ID).alias("entity_id"),
+    )
+
+
+def metadata_of(texts: Column, default_id: Column, now: Column) -> Column:
+    """Texts -> struct(event_id, event_version, occurred_at, entity_type, entity_id, state).
 
     ``state`` is ``ok``, ``default`` (a header is missing, so the whole record is the
     default one) or ``malformed`` (all are there but one does not parse).
     """
-    event_id = first_value(headers, C.HEADER_EVENT_ID)
-    version = first_value(headers, C.HEADER_EVENT_VERSION)
-    occurred = first_value(headers, C.HEADER_OCCURRED_AT)
-    entity_type = first_value(headers, C.HEADER_ENTITY_TYPE)
-    entity_id = first_value(headers, C.HEADER_ENTITY_ID)
-
-    texts = (event_id, version, occurred, entity_type, entity_id)
-    complete = F.lit(True)
-    for text in texts:
-        complete = complete & text.isNotNull()
-    values = (ids.parse_uuid(event_id), version.try_cast("int"), times.parse_iso(occurred))
-    parsed = F.lit(True)
-    for value in values:
-        parsed = parsed & value.isNotNull()
+    event_id = ids.parse_uuid(texts["event_id"])
+    version = texts["event_version"].try_cast("int")
+    occurred = times.parse_iso(texts["occurred_at"])
+    complete = (
+        texts["event_id"].isNotNull()
+        & texts["event_version"].isNotNull()
+        & texts["occurred_at"].isNotNull()
+        & texts["entity_type"].isNotNull()
+        & texts["entity_id"].isNotNull()
+    )
+    parsed = event_id.isNotNull() & version.isNotNull() & occurred.isNotNull()
 
     def choose(found: Column, default: Column) -> Column:
         return F.when(complete, found).otherwise(default)
 
     return F.struct(
-        choose(values[0], default_id).alias("event_id"),
-        choose(values[1], F.lit(C.EVENT_VERSION)).alias("event_version"),
-        choose(values[2], now).alias("occurred_at"),
-        choose(entity_type, F.lit(C.ENTITY_DEFAULT)).alias("entity_type"),
-        choose(entity_id, F.lit("")).alias("entity_id"),
+        choose(event_id, default_id).alias("event_id"),
+        choose(version, F.lit(C.EVENT_VERSION)).alias("event_version"),
+        choose(occurred, now).alias("occurred_at"),
+        choose(texts["entity_type"], F.lit(C.ENTITY_DEFAULT)).alias("entity_type"),
+        choose(texts["entity_id"], F.lit("")).alias("entity_id"),
         F.when(~complete, "default").when(parsed, "ok").otherwise("malformed").alias("state"),
     )
 
 
+def read_metadata(
+    messages: DataFrame, default_id: Column, now: Column, headers: str = "headers"
+) -> DataFrame:
+    """Adds ``metadata``. Each header is looked up once per row."""
+    looked_up = once(messages, "_texts", metadata_texts(F.col(headers)))
+    return looked_up.withColumn("metadata", metadata_of(F.col("_texts"), default_id, now)).drop(
+        "_texts"
+    )
+
+
 def dead_letter_headers(
     topic: Column,
     partition: Column,

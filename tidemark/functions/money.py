@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 
 def to_cents(amount: Column) -> Column:
-    """An amount as a whole number of cents."""
-    return F.round(amount * 100).cast("bigint")
+    """An amount (decimal, or double with two decimals) as whole cents, half away from zero.
+
+    ``floor`` stays in plain arithmetic; ``round`` would build a big decimal per row.
+    """
+    size = F.floor(F.abs(amount) * 100 + F.lit(Decimal("0.5"))).cast("bigint")
+    return F.when(amount < 0, -size).otherwise(size)
 
 
 def whole_div(numerator: Column, denominator: Column) -> Column:

@@ -57,18 +57,20 @@ def apply_status(
     as_of: Column,
     guard_regression: bool = True,
 ) -> DataFrame:
-    """``orders`` with ``status`` set where ``changes`` has the key; ``changes`` is unique.
+    """``orders`` with ``status`` set where ``changes`` has the key, however often.
 
     With the guard an order only moves forward. ``updated_at`` moves with every update.
     """
-    hits = changes.select(key).withColumn("_hit", F.lit(1))
+    hits = changes.select(key).distinct().withColumn("_hit", F.lit(1))
     allowed = F.col("_hit").isNotNull()
     if guard_regression:
         allowed = allowed & (rank(F.col("status")) < rank(F.lit(status)))
-    joined = orders.join(hits, key, "left").withColumn("_changed", allowed)
-    return touch(joined.withColumn("status", F.when(allowed, status).otherwise(F.col("status"))), as_of).select(
-        *orders.columns
+    moved = (
+        orders.join(hits, key, "left")
+        .withColumn("_changed", allowed)
+        .withColumn("status", F.when(F.col("_changed"), status).otherwise(F.col("status")))
     )
+    return touch(moved, as_of).select(*orders.columns)
 
 
 def touch(df: DataFrame, as_of: Column, changed: str = "_changed") -> DataFrame:

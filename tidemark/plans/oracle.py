@@ -333,6 +333,12 @@ ORACLE: dict[str, str] = {
                CASE WHEN request_id % 11 = 0 THEN 'default'
                     WHEN request_id % 13 = 0 THEN 'malformed' ELSE 'ok' END AS state
         FROM outbox""",
+    "metrics_from_messages": f"""{_WITH_OUTBOX}
+        SELECT epoch_us(time_bucket(INTERVAL '1 hour', occurred_at)) // 1000 AS window_start_ms,
+               count(*) AS order_count, CAST(sum(n) AS BIGINT) AS item_lines
+        FROM outbox
+        WHERE request_id % 11 <> 0 AND request_id % 13 <> 0 AND request_id % 17 <> 0
+        GROUP BY 1""",
     "wire_frames": """
         SELECT code AS order_short_code, '000000002A' || hex(encode(payload)) AS frame_hex,
                CAST(42 AS BIGINT) AS schema_id, payload

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config as C
 from tidemark.functions import headers, ids, items, money, retry, times
+from tidemark.functions.once import once
 from tidemark.operators import (
     deadletter,
     fulfillment,
@@ -20,7 +21,7 @@ from tidemark.operators import (
     rules,
 )
 from tidemark.session import prepare, settle
-from tidemark.sources import tables, topics, wire
+from tidemark.sources import messages, tables, topics, wire
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -338,38 +339,23 @@ def headers_encode(spark, folder):
 
 @query
 def headers_decode(spark, folder):
-    first = {
-        name.replace("-", "_"): headers.first_value(F.col("headers"), name)
-        for name in (
-            C.HEADER_EVENT_ID,
-            C.HEADER_EVENT_VERSION,
-            C.HEADER_OCCURRED_AT,
-            C.HEADER_ENTITY_TYPE,
-            C.HEADER_ENTITY_ID,
-        )
-    }
-    return _messages(spark, folder).select(
-        "request_id", *[value.alias(name) for name, value in first.items()]
-    )
+    texts = headers.metadata_texts(F.col("headers"))
+    return once(_messages(spark, folder), "texts", texts).select("request_id", "texts.*")
 
 
 @query
 def metadata_default(spark, folder):
     decoded = headers.read_metadata(
-        F.col("headers"), ids.stable_uuid("default", F.col("request_id")), as_of()
+        _messages(spark, folder), ids.stable_uuid("default", F.col("request_id")), as_of()
     )
-    return (
-        _messages(spark, folder)
-        .withColumn("_metadata", decoded)
-        .select(
-            "request_id",
-            "_metadata.event_id",
-            "_metadata.event_version",
-            times.millis(F.col("_metadata.occurred_at")).alias("occurred_at_ms"),
-            "_metadata.entity_type",
-            "_metadata.entity_id",
-            "_metadata.state",
-        )
+    return decoded.select(
+        "request_id",
+        "metadata.event_id",
+        "metadata.event_version",
+        times.millis(F.col("metadata.occurred_at")).alias("occurred_at_ms"),
+        "metadata.entity_type",
+        "metadata.entity_id",
+        "metadata.state",
     )
 
 
@@ -412,6 +398,19 @@ def topic_messages(spark, folder):
     )
 
 
+@query
+def metrics_from_messages(spark, folder):
+    """Orders and item lines per hour; the time comes from the header, not from the value."""
+    placed = messages.placed_events(_messages(spark, folder), as_of())
+    on_time = placed.where(F.col("metadata.state") == "ok")
+    hours = metrics.windowed_metrics(on_time, "1h", amount="item_lines")
+    return hours.select(
+        times.millis(F.col("window_start")).alias("window_start_ms"),
+        "order_count",
+        money.whole_div(F.col("revenue_cents"), F.lit(100)).alias("item_lines"),
+    )
+
+
 # --- outbox ------------------------------------------------------------------
 
 
@@ -604,9 +603,9 @@ def fulfilled_dedupe(spark, folder):
 
 
 def _applied(spark: SparkSession, folder: str, guard_regression: bool) -> DataFrame:
-    first = orders.first_per_key(tables.fulfilled(spark, folder), KEY, EVENT_ORDER)
+    done = tables.fulfilled(spark, folder)
     return orders.apply_status(
-        tables.stored_orders(spark, folder), first, KEY, "FULFILLED", as_of(), guard_regression
+        tables.stored_orders(spark, folder), done, KEY, "FULFILLED", as_of(), guard_regression
     ).select(KEY, "status", times.millis(F.col("updated_at")).alias("updated_at_ms"))
 
 

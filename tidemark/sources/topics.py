@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 from tidemark.config import StreamPolicy
 
+# Takes a frame of messages and delivers it.
+Send = Callable[[DataFrame], None]
+
 
 def messages(
     df: DataFrame,
@@ -66,6 +70,11 @@ def write_topic(frame: DataFrame, options: Mapping[str, str]) -> None:
     _needs_broker(lambda: frame.write.format("kafka").options(**options).save())
 
 
+def sender(options: Mapping[str, str]) -> Send:
+    """``send`` for the live queries: every frame goes to the topic in its ``topic`` column."""
+    return partial(write_topic, options=options)
+
+
 def _needs_broker(action):
     try:
         return action()

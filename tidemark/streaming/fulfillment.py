@@ -9,40 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark import config as C
-from tidemark.functions import headers
 from tidemark.operators import deadletter, fulfillment, orders
-from tidemark.schemas import ORDER_PLACED
-from tidemark.sources import files
-
-
-def decode_placed(messages: DataFrame, now: Column) -> DataFrame:
-    """Messages (``key, value, headers, partition, offset``) with the event and metadata.
-
-    Values that do not decode are kept with a null event, to be counted and skipped.
-    """
-    text = F.col("value").cast("string")
-    default_id = F.concat_ws("-", F.lit("default"), F.col("partition"), F.col("offset"))
-    return (
-        messages.withColumn("placed", F.from_json(text, ORDER_PLACED))
-        .withColumn(
-            "placed", F.when(F.col("placed.orderShortCode").isNotNull(), F.col("placed"))
-        )
-        .withColumn("metadata", headers.read_metadata(F.col("headers"), default_id, now))
-    )
+from tidemark.sources import files, messages
+from tidemark.sources.topics import Send
 
 
 def route(decoded: DataFrame, hook: fulfillment.Hook) -> DataFrame:
     """Adds ``outcome``: fulfilled, dead_letter, quarantine (bad metadata) or skipped."""
     processed = fulfillment.process(
-        decoded.withColumns(
-            {
-                "order_short_code": F.col("placed.orderShortCode"),
-                "customer_id": F.col("placed.customerId"),
-                "items": F.col("placed.items"),
-                "event_id": F.col("metadata.event_id"),
-            }
-        ),
-        hook,
+        decoded.withColumn("event_id", F.col("metadata.event_id")), hook
     )
     return processed.withColumn(
         "outcome",
@@ -53,16 +28,20 @@ def route(decoded: DataFrame, hook: fulfillment.Hook) -> DataFrame:
 
 
 def start_fulfillment(
-    messages: DataFrame,
+    placed_messages: DataFrame,
     folder: str,
     as_of: Column,
     hook: fulfillment.Hook = fulfillment.accept_all,
     interval: str | None = None,
+    send: Send | None = None,
 ):
-    """Each batch: decode, process, then fulfilled events and dead letters to their tables."""
+    """Each batch: decode, process, then fulfilled events and dead letters to their tables.
+
+    With ``send`` both are sent to their topics as well, after the tables are written.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = route(decode_placed(batch, as_of), hook).persist()
+        routed = route(messages.decode_placed(batch, as_of), hook).persist()
         try:
             fulfilled = routed.where(F.col("outcome") == "fulfilled")
             files.replace_batch(
@@ -86,10 +65,19 @@ def start_fulfillment(
                 f"{folder}/quarantine",
                 batch_id,
             )
+            if send:
+                spark = batch.sparkSession
+                written = spark.read.parquet(files.batch_path(f"{folder}/fulfilled", batch_id))
+                send(messages.fulfilled_messages(written, as_of))
+                send(
+                    messages.letter_messages(
+                        spark.read.parquet(files.batch_path(f"{folder}/dead_letters", batch_id))
+                    )
+                )
         finally:
             routed.unpersist()
 
-    return files.start(messages, write, f"{folder}/offsets", interval)
+    return files.start(placed_messages, write, f"{folder}/offsets", interval)
 
 
 def read_outcomes(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,6 +108,7 @@ def start_status_apply(
     status: str = "FULFILLED",
     unknown_order: str = "dead_letter",
     interval: str | None = None,
+    send: Send | None = None,
 ):
     """Each batch: first event per order, skip what is done, record changes, split unknowns.
 
@@ -154,6 +143,9 @@ def start_status_apply(
                 f"{folder}/dead_letters",
                 batch_id,
             )
+            if send:
+                letters = spark.read.parquet(files.batch_path(f"{folder}/dead_letters", batch_id))
+                send(messages.letter_messages(letters))
         finally:
             events.unpersist()
 
@@ -185,4 +177,4 @@ def current_orders(
     order_store: DataFrame, changes: DataFrame, key: str, as_of: Column, status: str = "FULFILLED"
 ) -> DataFrame:
     """The order store with the recorded changes applied."""
-    return orders.apply_status(order_store, changes.select(key).distinct(), key, status, as_of)
+    return orders.apply_status(order_store, changes, key, status, as_of)

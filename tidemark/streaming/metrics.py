@@ -10,7 +10,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from tidemark.config import WINDOW_SIZES, StreamPolicy
 from tidemark.operators import metrics
-from tidemark.sources import files
+from tidemark.sources import files, messages
+from tidemark.sources.topics import Send
 
 METRICS = StructType(
     [
@@ -42,9 +43,11 @@ def start_metrics(
     folder: str,
     interval: str | None = None,
     fill_empty: bool = True,
+    send: Send | None = None,
     **columns: str,
 ):
     """Append closed windows to ``folder/metrics``, with zero rows for empty windows.
+    With ``send`` they go to the analytics topic too, after the table.
 
     A window that closed without rows lies between two windows that had some, so it is
     filled in when the later one closes.
@@ -64,6 +67,8 @@ def start_metrics(
             files.replace_batch(
                 by_day.drop("window_size").repartition("day"), table, batch_id, by=["day"]
             )
+            if send:
+                send(messages.metric_messages(rows, F.current_timestamp()))
             files.replace_batch(
                 closed.agg(F.coalesce(F.max("window_end"), reached).alias("reached")),
                 frontier,

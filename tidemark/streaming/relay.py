@@ -11,7 +11,8 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 from tidemark import config as C
 from tidemark.operators import deadletter, outbox
 from tidemark.schemas import ORDER_PLACED, OUTBOX_EVENTS
-from tidemark.sources import files, topics
+from tidemark.sources import files, messages
+from tidemark.sources.topics import Send
 
 LEDGER = StructType(
     [
@@ -23,18 +24,6 @@ LEDGER = StructType(
 _OUTBOX_COLUMNS = OUTBOX_EVENTS.fieldNames()
 
 
-def placed_messages(published: DataFrame) -> DataFrame:
-    """Published events as messages: keyed by order code, in key order."""
-    in_order = outbox.in_key_order(published, "entity_id", ["occurred_at", "id"])
-    return topics.messages(
-        in_order,
-        C.TOPIC_ORDER_PLACED,
-        value=F.to_json("placed"),
-        key=F.col("entity_id"),
-        headers=outbox.event_headers(),
-    )
-
-
 def start_relay(
     outbox_rows: DataFrame,
     publish: Callable[[DataFrame], DataFrame],
@@ -43,11 +32,13 @@ def start_relay(
     limit: int = outbox.POLICY.retry_limit,
     rounds: int = 1,
     interval: str | None = None,
+    send: Send | None = None,
 ):
     """One attempt per event and round; failed events go on in the next round or batch.
 
     A batch touches its new rows and the ones carried over, never the whole outbox.
     ``rounds=1`` suits a live query; ``limit + 1`` settles every event in its own batch.
+    With ``send`` messages and dead letters go to their topics too, after the ledger.
     """
     ledger = f"{folder}/ledger"
 
@@ -61,14 +52,14 @@ def start_relay(
             tried = outbox.attempt(due, publish, limit).select(*LEDGER.fieldNames())
             files.replace_batch(tried, f"{ledger}/round={turn}", batch_id)
             done = files.read_batch(spark, f"{ledger}/round={turn}", batch_id, LEDGER)
-            files.replace_batch(
-                placed_messages(done.where(F.col("status") == "PUBLISHED")),
-                f"{folder}/published/round={turn}",
-                batch_id,
-            )
+            published = messages.placed_messages(done.where(F.col("status") == "PUBLISHED"))
+            files.replace_batch(published, f"{folder}/published/round={turn}", batch_id)
             files.replace_batch(
                 exhausted_letters(done, failed_at), f"{folder}/dead_letters/round={turn}", batch_id
             )
+            if send:
+                send(published)
+                send(messages.letter_messages(exhausted_letters(done, failed_at)))
             due = _to_retry(spark, ledger, batch_id, turn, limit)
 
     return files.start(outbox_rows, write, f"{folder}/offsets", interval)
