@@ -127,6 +127,17 @@ def test_numbering_with_one_hot_time(spark, slices):
     assert [(r.t, r.id) for r in got] == sorted(rows)
 
 
+@pytest.mark.parametrize("slices", [1, 4])
+def test_running_totals(spark, slices):
+    rows = [(i, None if i % 5 == 0 else i) for i in range(100)]
+    frame = spark.createDataFrame(rows, "id int, v int").repartition(3)
+    got = ordered.running_totals(frame, ["id"], ["v"], slices).orderBy("id").collect()
+    total = 0
+    for place, ((_, v), row) in enumerate(zip(rows, got), start=1):
+        total += v or 0
+        assert (row.n, row.running_v) == (place, total)
+
+
 def brute_late(rows, tolerance=60):
     newest, late = None, set()
     for arrived, key, event in sorted(rows):

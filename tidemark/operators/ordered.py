@@ -118,6 +118,38 @@ def snapshot_records(snapshots: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def running_totals(
+    df: DataFrame, order_by: Sequence[str], values: Sequence[str], slices: int | None = None
+) -> DataFrame:
+    """Adds ``n`` and ``running_<value>`` from the first row to this one, for every row."""
+    cut = _slices(df, order_by, slices)
+    sums = {v: F.sum(F.coalesce(F.col(v), F.lit(0))) for v in values}
+    sizes = cut.groupBy("_slice").agg(
+        F.count("*").alias("_rows"), *[total.alias(f"_sum_{v}") for v, total in sums.items()]
+    )
+    earlier = Window.orderBy("_slice").rowsBetween(*_EARLIER)
+    starts = sizes.select(
+        "_slice",
+        *[
+            F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_start{name}")
+            for name in ("_rows", *[f"_sum_{v}" for v in values])
+        ],
+    )
+    so_far = (
+        Window.partitionBy("_slice")
+        .orderBy("_position")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return cut.join(F.broadcast(starts), "_slice").select(  # one row per slice
+        *df.columns,
+        (F.col("_start_rows") + F.col("_position") + 1).alias("n"),
+        *[
+            (F.col(f"_start_sum_{v}") + total.over(so_far)).alias(f"running_{v}")
+            for v, total in sums.items()
+        ],
+    )
+
+
 def tag_late(
     events: DataFrame,
     arrival_order: Sequence[str],

@@ -86,3 +86,8 @@ def lines_per_order(orders: DataFrame, lines: DataFrame, key: str) -> DataFrame:
         .withColumn("item_lines", F.coalesce(F.col("_lines"), F.lit(0)))
         .drop("_lines")
     )
+
+
+def with_items(orders: DataFrame, items: DataFrame, key: str, keep_empty: bool = True) -> DataFrame:
+    """Orders joined to their items, one row per item; orders without items are optional."""
+    return orders.join(items, key, "left" if keep_empty else "inner")

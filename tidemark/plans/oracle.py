@@ -241,6 +241,14 @@ ORACLE: dict[str, str] = {
         FROM ({_snapshots(_ORDER_LINES, 'o_orderdate, o_orderkey')})""",
     "item_lines_per_order": f"""
         SELECT o_orderkey AS order_short_code, lines AS item_lines FROM ({_ORDER_LINES})""",
+    "running_item_lines": f"""
+        SELECT o_orderkey AS order_short_code, row_number() OVER w AS n,
+               CAST(sum(lines) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_item_lines
+        FROM ({_ORDER_LINES}) WINDOW w AS (ORDER BY o_orderdate, o_orderkey)""",
+    "order_item_join": """
+        SELECT o_orderkey AS order_short_code, o_custkey AS customer_id,
+               l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS count
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
     "late_split": f"""
         WITH {_ARRIVED}, {_late()}
         SELECT event_id, CAST(is_late AS INTEGER) AS is_late FROM tagged""",
@@ -508,10 +516,20 @@ ORACLE.update(
                    {_text(_mean('total * 100', 'n'))} AS "avgOrderValue",
                    CAST({AS_OF_MS} AS BIGINT) AS "processedAt"
             FROM ({_snapshots(_PURCHASE_LINES, 'ts, event_id')})""",
+        "order_ingest_stream": f"""{_WITH_REQ}
+            SELECT id AS request_id, CASE WHEN ok THEN code END AS order_short_code,
+                   CASE WHEN NOT ok THEN 0 WHEN kind = 'view' THEN 0 ELSE k % 3 + 1 END
+                     AS items,
+                   CAST(ok AS BIGINT) AS events,
+                   {_violations(
+                       ('body_readable', "kind = 'error'"),
+                       ('items_listed', "kind = 'signup'"),
+                       ('counts_positive', _BAD_COUNT))} AS violations
+            FROM req""",
         "sharded_snapshot_stream": """
             SELECT shard, CAST(n AS BIGINT) AS order_count FROM (
-                SELECT event_id % 3 AS shard,
-                       row_number() OVER (PARTITION BY event_id % 3 ORDER BY ts, event_id) AS n
+                SELECT event_id % 64 AS shard,
+                       row_number() OVER (PARTITION BY event_id % 64 ORDER BY ts, event_id) AS n
                 FROM events WHERE event_type = 'purchase')
             WHERE n % 10 = 0""",
         "late_split_stream": ORACLE["late_split"],

@@ -175,6 +175,27 @@ def item_lines_per_order(spark, folder):
     return _orders_with_lines(spark, folder).select(KEY, "item_lines")
 
 
+@query
+def running_item_lines(spark, folder):
+    """Orders and item lines so far, at every order."""
+    running = ordered.running_totals(
+        _orders_with_lines(spark, folder).select("placed_at", KEY, "item_lines"),
+        ["placed_at", KEY],
+        ["item_lines"],
+    )
+    return running.select(KEY, "n", "running_item_lines")
+
+
+@query
+def order_item_join(spark, folder):
+    """Orders with their items; orders without items keep one row."""
+    return orders.with_items(
+        tables.placed_orders(spark, folder).select(KEY, "customer_id"),
+        tables.order_lines(spark, folder),
+        KEY,
+    )
+
+
 def _tagged(spark: SparkSession, folder: str) -> DataFrame:
     return ordered.tag_late(
         tables.arrivals(tables.events(spark, folder)), ["arrived_at", "event_id"]

@@ -10,9 +10,11 @@ from tidemark.operators import metrics, ordered
 from tidemark.plans.queries import EVENT_ORDER, KEY, as_of, flag, flaky_publish, query, refuse_empty
 from tidemark.session import new_folder
 from tidemark.sources import files, tables
-from tidemark.streaming import fulfillment, join, late, relay, snapshot
+from tidemark.streaming import fulfillment, ingest, join, late, relay, snapshot
 from tidemark.streaming import metrics as live
 
+SHARDS = 64  # counters of the sharded snapshot; rows are dealt out by event id
+
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return tables.with_instants(tables.stream(spark, folder, "events"))
@@ -36,12 +38,43 @@ def order_count_snapshot_stream(spark, folder):
     return ordered.snapshot_records(snapshot.read_snapshots(spark, out), as_of())
 
 
+@query
+def order_ingest_stream(spark, folder):
+    """Every request: the order it became with its item and event rows, or why it did not."""
+    out = new_folder(spark, "ingest")
+    requests = tables.requests(_event_stream(spark, folder)).drop("partition", "offset")
+    files.finish(ingest.start_ingest(requests, "request_id", "received_at", out))
+    rows = ingest.read_tables(spark, out, requests.schema["request_id"])
+    lines = rows["order_items"].groupBy("order_id").agg(F.count("*").alias("items"))
+    events = rows["outbox_events"].groupBy("entity_id").agg(F.count("*").alias("events"))
+    stored = (
+        rows["orders"]
+        .join(lines, "order_id", "left")
+        .join(events.withColumnRenamed("entity_id", KEY), KEY, "left")
+        .select(
+            "request_id",
+            KEY,
+            F.coalesce("items", F.lit(0)).cast("bigint").alias("items"),
+            F.coalesce("events", F.lit(0)).cast("bigint").alias("events"),
+            F.lit("").alias("violations"),
+        )
+    )
+    refused = rows["quarantine"].select(
+        "request_id",
+        F.lit(None).cast("string").alias(KEY),
+        F.lit(0).cast("bigint").alias("items"),
+        F.lit(0).cast("bigint").alias("events"),
+        F.array_join("violations", ",").alias("violations"),
+    )
+    return stored.unionByName(refused)
+
+
 @query
 def sharded_snapshot_stream(spark, folder):
     """Counts per shard; the running total depends on arrival and is left out here."""
     out = new_folder(spark, "shards")
     placed = tables.purchases(_event_stream(spark, folder)).select(
-        (F.col("event_id") % tables.SOURCE_PARTITIONS).alias("shard"),
+        (F.col("event_id") % SHARDS).alias("shard"),
         (F.col("k") % 3 + 1).alias("item_lines"),
     )
     files.finish(snapshot.start_sharded_snapshot(placed, "shard", out))

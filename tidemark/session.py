@@ -16,7 +16,13 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on local disk with small checkpoints: only what changed is uploaded per batch.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 _local_root: str | None = None
 
@@ -26,7 +32,7 @@ def build(app: str = "tidemark", master: str | None = None, **conf: str) -> Spar
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**RUNTIME, "spark.sql.streaming.stateStore.providerClass": STATE_STORE}
+    settings = {**RUNTIME, **STATE_STORE}
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -37,6 +43,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else made."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    partitions = "spark.sql.shuffle.partitions"
+    chosen = context.getConf().contains(partitions) or spark.conf.get(partitions) != "200"
+    if context.master.startswith("local") and not chosen:
+        # The cluster default of 200 tasks and state stores is no use on one machine.
+        spark.conf.set(partitions, str(context.defaultParallelism))
     return spark
 
 

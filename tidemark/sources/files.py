@@ -51,6 +51,18 @@ def read_batch(spark: SparkSession, folder: str, batch_id: int, schema: StructTy
     return spark.read.schema(schema).parquet(batch_path(folder, batch_id))
 
 
+def commit_batch(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Mark a batch whose tables are all written."""
+    replace_batch(spark.range(1), f"{folder}/committed", batch_id)
+
+
+def last_committed(spark: SparkSession, folder: str) -> int:
+    """The newest marked batch; batches are written one after the other. -1 for none."""
+    marks = spark.read.schema("id bigint, batch_id bigint").parquet(f"{folder}/committed")
+    newest = marks.agg(F.max("batch_id").alias("newest")).first()["newest"]
+    return -1 if newest is None else newest
+
+
 def carried_row(spark: SparkSession, folder: str, batch_id: int) -> Row | None:
     """The one-row table the previous batch left behind; None for the first batch."""
     if batch_id == 0:
@@ -67,7 +79,8 @@ def start(
 ):
     """Start the query. Without an interval it takes what is there and stops."""
     spark = stream.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
     writer = (
         stream.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)

@@ -121,12 +121,17 @@ def start_status_apply(
         spark = batch.sparkSession
         events = orders.first_per_key(batch, key, event_order).persist()
         try:
+            # Once counted, the planner knows the size of the batch: a small one is broadcast
+            # and the store and the earlier changes are scanned without a shuffle.
+            events.count()
+            codes = events.select(key)
             schema = change_schema(events.schema[key])
             fresh = events
             if batch_id > 0:
-                done = files.read_batches(spark, changes_folder, schema, before=batch_id)
-                fresh = events.join(done.select(key), key, "left_anti")
-            touched = order_store().join(events.select(key), key, "left_semi")
+                earlier = files.read_batches(spark, changes_folder, schema, before=batch_id)
+                done = earlier.select(key).join(codes, key, "left_semi")
+                fresh = events.join(done, key, "left_anti")
+            touched = order_store().join(codes, key, "left_semi")
             pending = touched.where(
                 orders.rank(F.col("status")) < orders.rank(F.lit(status))
             ).select(key, F.col("status").alias("old_status"))

@@ -41,3 +41,12 @@ def read_split(spark: SparkSession, folder: str) -> DataFrame:
     """On-time and late events; filter on ``is_late`` to read one side only."""
     rows = spark.read.parquet(f"{folder}/events")
     return rows.withColumn("is_late", F.col("is_late").cast("boolean"))
+
+
+def dropped_rows(query) -> int:
+    """Rows a finished or running query dropped behind its watermark (recent progress)."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )

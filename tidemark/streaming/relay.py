@@ -51,16 +51,16 @@ def start_relay(
         for turn in range(rounds):
             tried = outbox.attempt(due, publish, limit).select(*LEDGER.fieldNames())
             files.replace_batch(tried, f"{ledger}/round={turn}", batch_id)
-            done = files.read_batch(spark, f"{ledger}/round={turn}", batch_id, LEDGER)
-            published = messages.placed_messages(done.where(F.col("status") == "PUBLISHED"))
-            files.replace_batch(published, f"{folder}/published/round={turn}", batch_id)
-            files.replace_batch(
-                exhausted_letters(done, failed_at), f"{folder}/dead_letters/round={turn}", batch_id
-            )
-            if send:
-                send(published)
-                send(messages.letter_messages(exhausted_letters(done, failed_at)))
             due = _to_retry(spark, ledger, batch_id, turn, limit)
+        paths = [files.batch_path(f"{ledger}/round={turn}", batch_id) for turn in range(rounds)]
+        done = spark.read.schema(LEDGER).parquet(*paths)
+        published = messages.placed_messages(done.where(F.col("status") == "PUBLISHED"))
+        files.replace_batch(published, f"{folder}/published", batch_id)
+        letters = exhausted_letters(done, failed_at)
+        files.replace_batch(letters, f"{folder}/dead_letters", batch_id)
+        if send:
+            send(published)
+            send(messages.letter_messages(letters))
 
     return files.start(outbox_rows, write, f"{folder}/offsets", interval)
 

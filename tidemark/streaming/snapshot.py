@@ -68,6 +68,7 @@ def sharded_snapshots(
     """Each shard keeps its own count and total, in arrival order.
 
     The state is two numbers per shard; the rows of a shard stream through in Arrow batches.
+    A shard is one task per batch: deal rows out by a unique id and to enough shards.
     """
 
     def step(
