@@ -550,6 +550,23 @@ ORACLE.update(
                         WHEN kind = 'view' THEN 'dead_letter' ELSE 'fulfilled' END AS outcome
             FROM req WHERE ok""",
         "status_apply_stream": ORACLE["status_apply"],
+        "fulfillment_metrics_stream": f"""
+            WITH placed AS (
+                SELECT event_id, ts, CAST(props->>'$.k' AS INTEGER) AS k
+                FROM events WHERE event_type = 'purchase'),
+            mark AS (  -- both watermarks wait two hours, and an order has one hour
+                SELECT least(max(ts), max(CASE WHEN k < 80 THEN ts + to_minutes(k) END))
+                       - INTERVAL '2 hours' - INTERVAL '1 hour' AS reached
+                FROM placed),
+            hours AS (
+                SELECT time_bucket(INTERVAL '1 hour', ts) AS ws, count(*) AS n,
+                       count(*) FILTER (k <= 60) AS f,
+                       CAST(coalesce(sum(k * 60000) FILTER (k <= 60), 0) AS BIGINT) AS latency
+                FROM placed GROUP BY 1)
+            SELECT epoch_us(ws) // 1000 AS window_start_ms, n AS placed, f AS fulfilled,
+                   n - f AS pending, {_text(_mean('f * 10000', 'n'))} AS rate_percent,
+                   CASE WHEN f > 0 THEN {_mean('latency', 'f')} END AS mean_latency_ms
+            FROM hours, mark WHERE ws + INTERVAL '1 hour' <= reached""",
         "placed_fulfilled_stream_join": """
             SELECT event_id AS order_short_code, epoch_us(ts) // 1000 AS placed_at_ms,
                    epoch_us(ts + to_minutes(k)) // 1000 AS fulfilled_at_ms

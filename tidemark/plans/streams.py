@@ -144,16 +144,20 @@ def _pairs(all_events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return placed, fulfilled
 
 
+def _joined(spark: SparkSession, folder: str) -> DataFrame:
+    placed, _ = _pairs(_event_stream(spark, folder))
+    _, fulfilled = _pairs(_event_stream(spark, folder))
+    return join.placed_fulfilled_stream(
+        placed, fulfilled, KEY, placed_delay="2 hours", fulfilled_delay="2 hours"
+    )
+
+
 @query
 def placed_fulfilled_stream_join(spark, folder):
     """Orders fulfilled within the hour. Orders that ran out of time are in the sink too,
     with a null; those still open when the stream was drained are not."""
     out = new_folder(spark, "join")
-    placed, _ = _pairs(_event_stream(spark, folder))
-    _, fulfilled = _pairs(_event_stream(spark, folder))
-    joined = join.placed_fulfilled_stream(
-        placed, fulfilled, KEY, placed_delay="2 hours", fulfilled_delay="2 hours"
-    )
+    joined = _joined(spark, folder)
     files.finish(join.start_join(joined, out))
     done = join.read_joined(spark, out, joined.schema)
     return done.where(F.col("fulfilled_at").isNotNull()).select(
@@ -161,3 +165,15 @@ def placed_fulfilled_stream_join(spark, folder):
         times.millis(F.col("placed_at")).alias("placed_at_ms"),
         times.millis(F.col("fulfilled_at")).alias("fulfilled_at_ms"),
     )
+
+
+@query
+def fulfillment_metrics_stream(spark, folder):
+    """Hours whose orders all had their hour to be fulfilled."""
+    out = new_folder(spark, "fulfillment-metrics")
+    counts = join.fulfillment_metrics_stream(_joined(spark, folder))
+    files.finish(join.start_join(counts, out))
+    rates = join.with_rates(join.read_joined(spark, out, counts.schema))
+    return rates.withColumn("window_start", times.millis(F.col("window_start"))).withColumnRenamed(
+        "window_start", "window_start_ms"
+    )
