@@ -247,7 +247,8 @@ PAYLOAD = '{"OrderShortCode":"abc","CustomerId":"c","Items":[],"Status":0}'
 def events(spark, rows):
     """Rows of (id, status, retry_count) or (id, status, retry_count, payload)."""
     full = [
-        (r[0], "ORDER", r[0], "ORDER_PLACED", 1, r[3] if len(r) > 3 else PAYLOAD, at(n), r[1], r[2], None, None)
+        (r[0], "ORDER", r[0], "ORDER_PLACED", 1, r[3] if len(r) > 3 else PAYLOAD)
+        + (at(n), r[1], r[2], None, None)
         for n, r in enumerate(rows)
     ]
     return spark.createDataFrame(full, OUTBOX_EVENTS)
@@ -367,7 +368,8 @@ def test_fulfillment_numbers(spark):
     (row,) = fulfillment.fulfillment_metrics(placed_rows, done, "code").collect()
     assert (row.placed, row.fulfilled, row.pending) == (3, 1, 2)
     assert (row.rate_percent, row.mean_latency_ms) == ("33.33", 1000)
-    joined = {r.code: r.fulfilled_at for r in fulfillment.placed_fulfilled(placed_rows, done, "code").collect()}
+    pairs = fulfillment.placed_fulfilled(placed_rows, done, "code").collect()
+    joined = {r.code: r.fulfilled_at for r in pairs}
     assert joined["b"] is None and joined["a"] is not None
 
 
@@ -378,7 +380,9 @@ def test_delivery_quality_of_nothing(spark):
 
 
 def test_default_hook_accepts(spark):
-    frame = spark.createDataFrame([("a", "c", "e")], "order_short_code string, customer_id string, event_id string")
+    frame = spark.createDataFrame(
+        [("a", "c", "e")], "order_short_code string, customer_id string, event_id string"
+    )
     done = fulfillment.process(frame)
     assert done.first().outcome == "fulfilled"
     event = fulfillment.fulfilled_events(done, F.lit(at(1))).first()

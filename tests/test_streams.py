@@ -165,7 +165,8 @@ def test_snapshot_over_batches(spark, land, work, broken, fail_at):
 
 def test_one_shard_equals_the_batch_form(spark, land, work):
     # One row per file and batch fixes the order of arrival.
-    frame = spark.createDataFrame([(0, i, i % 5) for i in range(9)], "shard int, id int, item_lines int")
+    rows = [(0, i, i % 5) for i in range(9)]
+    frame = spark.createDataFrame(rows, "shard int, id int, item_lines int")
     path = land(parts(frame, "id", 9))
     stream = files.stream_files(spark, path, frame.schema, files_per_batch=1)
     files.finish(
@@ -188,7 +189,8 @@ def test_shards_keep_their_own_state_over_a_restart(spark, land, work):
             (Path(path) / "0001.parquet").write_bytes(new.read_bytes())
         stream = files.stream_files(spark, path, first.schema)
         files.finish(snapshot.start_sharded_snapshot(stream, "shard", work))
-    got = sorted(tuple(r) for r in snapshot.read_shards(spark, work).select("shard", "order_count", "item_lines").collect())
+    rows = snapshot.read_shards(spark, work).select("shard", "order_count", "item_lines")
+    got = sorted(tuple(r) for r in rows.collect())
     assert got == [(0, 10, 10), (1, 10, 10)]
 
 
@@ -241,7 +243,8 @@ def test_relay_carries_failures_to_later_batches(spark, land, work, broken, fail
 
     run_to_the_end(start)
     ledger = relay.read_ledger(spark, work)
-    got = {r.id: (r.status, r.attempts, r.retry_count) for r in relay.final_states(ledger).collect()}
+    states = relay.final_states(ledger).collect()
+    got = {r.id: (r.status, r.attempts, r.retry_count) for r in states}
     for i in range(10):
         fails = i % 5
         want = ("FAILED", 4, 3) if fails == 4 else ("PUBLISHED", fails + 1, fails)
@@ -265,7 +268,8 @@ def test_relay_rounds_settle_events_in_one_batch(spark, land, work):
 
 
 def test_fulfillment_routes_every_message_once(spark, folder, land, work):
-    messages = tables.placed_messages(tables.fresh_outbox(tables.events(spark, folder))).drop("request_id")
+    rows = tables.fresh_outbox(tables.events(spark, folder))
+    messages = tables.placed_messages(rows).drop("request_id")
     numbered = messages.withColumn("n", F.monotonically_increasing_id())
     path = land([numbered.where(F.col("n") % 3 == i).drop("n") for i in range(3)])
     stream = files.stream_files(spark, path, messages.schema, files_per_batch=1)
@@ -308,8 +312,10 @@ def test_stream_join_gives_matches_and_overdue_orders(spark, land, work):
     done = [(code, when + timedelta(minutes=5 + 8 * (i % 10))) for i, (code, when) in enumerate(placed)]
     left = spark.createDataFrame(placed, "code string, placed_at timestamp")
     right = spark.createDataFrame(sorted(done, key=lambda r: r[1]), "code string, fulfilled_at timestamp")
-    lefts = land([left.where(F.col("placed_at") < F.lit(at(12_000))), left.where(F.col("placed_at") >= F.lit(at(12_000)))], "l")
-    rights = land([right.where(F.col("fulfilled_at") < F.lit(at(12_000))), right.where(F.col("fulfilled_at") >= F.lit(at(12_000)))], "r")
+    half = F.lit(at(12_000))
+    early, done_early = F.col("placed_at") < half, F.col("fulfilled_at") < half
+    lefts = land([left.where(early), left.where(~early)], "l")
+    rights = land([right.where(done_early), right.where(~done_early)], "r")
     joined = join.placed_fulfilled_stream(
         files.stream_files(spark, lefts, left.schema, files_per_batch=1),
         files.stream_files(spark, rights, right.schema, files_per_batch=1),
@@ -342,9 +348,8 @@ def test_jobs_from_messages_to_status(spark, folder, land, work):
     sent = itertools.count()
 
     def send(frame):
-        frame.select("topic", "value", *[c for c in ("key", "headers") if c in frame.columns]).write.parquet(
-            f"{work}/topics/{next(sent):04d}"
-        )
+        columns = [c for c in ("topic", "value", "key", "headers") if c in frame.columns]
+        frame.select(*columns).write.parquet(f"{work}/topics/{next(sent):04d}")
 
     def topic(name):
         frames = [spark.read.parquet(str(p)) for p in sorted(Path(work, "topics").iterdir())]
@@ -370,7 +375,8 @@ def test_jobs_from_messages_to_status(spark, folder, land, work):
         jobs.order_snapshots(read(), f"{work}/snapshots", interval=None),
         jobs.fulfillment_service(read(), f"{work}/fulfillment", interval=None, send=send),
     )
-    assert sorted(r.order_count for r in snapshot.read_snapshots(spark, f"{work}/snapshots").collect()) == [10, 20]
+    snapshots = snapshot.read_snapshots(spark, f"{work}/snapshots").collect()
+    assert sorted(r.order_count for r in snapshots) == [10, 20]
 
     done = topic(C.TOPIC_ORDER_FULFILLED)
     assert done.count() == 20
@@ -379,7 +385,9 @@ def test_jobs_from_messages_to_status(spark, folder, land, work):
         "order_short_code string, status string, updated_at timestamp",
     )
     stream = files.stream_files(spark, land([done], "done"), done.schema)
-    files.finish(jobs.order_status(stream, lambda: store, f"{work}/status", interval=None, send=send))
+    files.finish(
+        jobs.order_status(stream, lambda: store, f"{work}/status", interval=None, send=send)
+    )
     changes = fulfillment.read_changes(spark, f"{work}/status", store.schema["order_short_code"])
     assert changes.count() == 19
     letters = topic(C.TOPIC_ORDER_DLQ)

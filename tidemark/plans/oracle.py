@@ -518,7 +518,7 @@ ORACLE.update(
             FROM ({_snapshots(_PURCHASE_LINES, 'ts, event_id')})""",
         "order_ingest_stream": f"""{_WITH_REQ}
             SELECT id AS request_id, CASE WHEN ok THEN code END AS order_short_code,
-                   CASE WHEN NOT ok THEN 0 WHEN kind = 'view' THEN 0 ELSE k % 3 + 1 END
+                   CAST(CASE WHEN NOT ok OR kind = 'view' THEN 0 ELSE k % 3 + 1 END AS BIGINT)
                      AS items,
                    CAST(ok AS BIGINT) AS events,
                    {_violations(
