@@ -138,6 +138,13 @@ def test_running_totals(spark, slices):
         assert (row.n, row.running_v) == (place, total)
 
 
+def test_ordered_results_of_no_rows(spark):
+    frame = spark.createDataFrame([], "id int, item_lines int")
+    assert ordered.order_count_snapshot(frame, ["id"]).count() == 0
+    assert ordered.running_totals(frame, ["id"], ["item_lines"]).count() == 0
+    assert ordered.tag_late(late_frame(spark, []), ["arrived_at", "id"]).count() == 0
+
+
 def brute_late(rows, tolerance=60):
     newest, late = None, set()
     for arrived, key, event in sorted(rows):
