@@ -4,8 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
+from tidemark.plans.oracle import ORACLE
+from tidemark.plans.queries import QUERIES
 
-NAMES = sorted(contract.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -14,13 +16,14 @@ def con(folder):
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(NAMES)
+    assert set(ORACLE) == set(NAMES)
+    assert set(NAMES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, folder, name):
-    frame = contract.queries()[name](spark, folder)
-    assert compare.difference(frame, con, contract.oracle_sql()[name]) is None
+    frame = QUERIES[name](spark, folder)
+    assert compare.difference(frame, con, ORACLE[name]) is None
 
 
 def test_entry(spark):
