@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F  # noqa: F401
 
-from tidemark.llm import packing, token_counts
+from pyspark.sql import functions as F
+
+from tidemark.llm import (
+    language_id,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    quality_rules,
+    token_counts,
+    url_filters,
+)
 from tidemark.llm.common import table
 from tidemark.session import new_folder, prepare
 
@@ -41,3 +51,47 @@ def op1_packing(spark, folder):
 def op3_token_counts(spark, folder):
     cache = new_folder(spark, "token-counts")
     return token_counts.count_tokens(table(spark, folder, "documents"), cache)
+
+
+@query
+def op4_host_quality(spark, folder):
+    return quality_rules.judge(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+@query
+def op6_language_id(spark, folder):
+    return language_id.predict_languages(table(spark, folder, "documents"))
+
+
+@query
+def op8_url_filters(spark, folder):
+    return url_filters.judge(table(spark, folder, "pages"))
+
+
+@query
+def op9_pfair_mix(spark, folder):
+    return mixing.schedule(table(spark, folder, "documents"))
+
+
+@query
+def op10_bag_minhash(spark, folder):
+    return near_dedup.classes(table(spark, folder, "documents"))
+
+
+@query
+def op2_fuzzy_lines(spark, folder):
+    return line_dedup.dedup_lines(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
