@@ -160,9 +160,11 @@ def train(docs: DataFrame, most: int = TRAIN_DOCS) -> Model | None:
     return Model(langs, codes, found["gram"].to_numpy(), found["n"].to_numpy())
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """Every column of ``docs`` but lang_pred and score, and these two."""
-    kept = docs.drop("lang_pred", "score")
+def identify(
+    docs: DataFrame, model: Model | None, pred: str = "lang_pred", likely: str = "score"
+) -> DataFrame:
+    """Every column of ``docs`` and these two; columns of their names are replaced."""
+    kept = docs.drop(pred, likely)
     names = kept.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -181,14 +183,14 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                         preds[i], scores[i] = found.langs[place], float(score)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
-                    names=[*names, "lang_pred", "score"],
+                    names=[*names, pred, likely],
                 )
 
     out = StructType(
         [
             *kept.schema.fields,
-            StructField("lang_pred", StringType()),
-            StructField("score", DoubleType()),
+            StructField(pred, StringType()),
+            StructField(likely, DoubleType()),
         ]
     )
     return kept.mapInArrow(predict, out)

@@ -6,12 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    fingerprints,
     language_id,
     line_dedup,
     mixing,
     near_dedup,
     packing,
     quality_rules,
+    suffix_dedup,
     token_counts,
     url_filters,
 )
@@ -95,3 +97,21 @@ def op2_fuzzy_lines(spark, folder):
         "n_removed",
         F.sha2("text", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op5_suffix_dedup(spark, folder):
+    spans = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    lengths = F.zip_with("span_starts", "span_ends", lambda start, end: end - start)
+    return spans.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, n: a + n).alias("n_removed"),
+        F.size("span_starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@query
+def op7_edit_fingerprints(spark, folder):
+    return fingerprints.compare_with_next(table(spark, folder, "documents"))
