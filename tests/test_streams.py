@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 
 from tidemark import config as C
 from tidemark import jobs
+from tidemark.config import RetryPolicy
 from tidemark.functions import ids
 from tidemark.operators import metrics, ordered, outbox
 from tidemark.plans.queries import as_of, refuse_empty
+from tidemark.plans.streams import fail_some
 from tidemark.schemas import OUTBOX_EVENTS
 from tidemark.sources import files, tables
 from tidemark.sources.messages import decode_placed
@@ -304,7 +307,115 @@ def test_status_changes_over_batches(spark, land, work, policy, letters):
         "c": "FULFILLED",
         "d": "PENDING",
     }
-    assert spark.read.parquet(f"{work}/dead_letters").count() == letters
+    if letters:
+        assert spark.read.parquet(f"{work}/dead_letters").count() == letters
+    else:
+        assert {r.key for r in spark.read.parquet(f"{work}/acknowledged").collect()} == {"x", "y"}
+
+
+def status_rows(spark, rows):
+    """Decoded fulfilled messages: code, ts, value and metadata."""
+    schema = (
+        "code string, ts int, value string, metadata struct<event_id:string,event_version:int,"
+        "occurred_at:timestamp,entity_type:string,entity_id:string,state:string>"
+    )
+    return spark.createDataFrame(
+        [(c, t, f"v{c}{t}", (f"id{c}{t}", 1, T0, "Order", c, state)) for c, t, state in rows], schema
+    )
+
+
+def test_an_event_may_overtake_its_order(spark, land, work):
+    """The order is stored one batch after its event came; another order never is."""
+    empty = status_rows(spark, [])
+    rows = [("a", 1, "ok"), ("x", 1, "ok"), ("x", 2, "default")]
+    first = status_rows(spark, [*rows, (None, 3, "ok"), ("a", 4, "malformed")])
+    known = {0: [], 1: [("a", "PENDING", T0)], 2: [("a", "PENDING", T0)]}
+    path = land([first])
+
+    def store():
+        return spark.createDataFrame(
+            known[min(now, 2)], "code string, status string, updated_at timestamp"
+        )
+
+    for now in range(3):
+        stream = files.stream_files(spark, path, empty.schema)
+        files.finish(
+            fulfillment.start_status_apply(
+                stream, store, "code", work, F.lit(at(3600 * now)), ["ts"], policy=RetryPolicy()
+            )
+        )
+    changes = fulfillment.read_changes(spark, work, empty.schema["code"]).collect()
+    assert [(r.code, r.batch_id) for r in changes] == [("a", 1)]
+    letters = spark.read.parquet(f"{work}/dead_letters").collect()
+    assert sorted(r.value for r in letters) == ["vx1", "vx2"]
+    assert {r.batch_id for r in letters} == {2}
+    for letter in letters:
+        keys = [h.key for h in letter.headers]
+        assert keys[:5] == ["event-id", "event-version", "occurred-at", "entity-type", "entity-id"]
+        assert "x-exception-type" in keys
+    aside = spark.read.parquet(f"{work}/quarantine").collect()
+    assert sorted(r.value for r in aside) == ["vNone3", "va4"]
+
+
+def test_failed_events_come_up_while_the_outbox_is_quiet(spark, land, work):
+    frame = outbox_rows(spark, 10)
+    path = land([frame])
+    for turn in range(1, 5):
+        stream = files.stream_files(spark, path, frame.schema)
+        files.finish(relay.start_relay(stream, fails_by_number, work, as_of()))
+        states = {r.id: r for r in relay.final_states(relay.read_ledger(spark, work)).collect()}
+        assert states["e004"].attempts == turn
+    assert states["e003"].status == "PUBLISHED" and states["e004"].status == "FAILED"
+    sent = [r.key for r in spark.read.parquet(f"{work}/published").collect()]
+    assert len(sent) == len(set(sent)) == 8
+
+
+@pytest.mark.parametrize("rounds", [(2, 1, 1, 1), (1, 3, 1, 1), (3, 1, 2, 1)])
+def test_rounds_may_change_at_a_restart(spark, land, work, rounds):
+    frame = outbox_rows(spark, 10)
+    path = land([frame])
+    for number in rounds:
+        stream = files.stream_files(spark, path, frame.schema)
+        files.finish(relay.start_relay(stream, fails_by_number, work, as_of(), rounds=number))
+    states = relay.final_states(relay.read_ledger(spark, work)).collect()
+    got = {r.id: (r.status, r.attempts) for r in states}
+    for i in range(10):
+        assert got[f"e{i:03d}"] == (("FAILED", 4) if i % 5 == 4 else ("PUBLISHED", i % 5 + 1))
+    sent = [r.key for r in spark.read.parquet(f"{work}/published").collect()]
+    assert len(sent) == len(set(sent)) == 8
+
+
+def test_a_running_relay_polls(spark, land, work):
+    frame = outbox_rows(spark, 5)
+    stream = files.stream_files(spark, land([frame]), frame.schema)
+    query = relay.start_relay(stream, fails_by_number, work, as_of(), interval="200 milliseconds")
+    try:
+        for _ in range(120):
+            time.sleep(0.5)
+            if query.lastProgress and query.lastProgress["batchId"] >= 4:
+                break
+    finally:
+        query.stop()
+    states = {r.id: r.status for r in relay.final_states(relay.read_ledger(spark, work)).collect()}
+    assert states == {f"e{i:03d}": "FAILED" if i == 4 else "PUBLISHED" for i in range(5)}
+
+
+def test_processing_is_tried_again(spark, folder, land, work):
+    rows = tables.fresh_outbox(tables.events(spark, folder)).limit(40)
+    messages = tables.placed_messages(rows).drop("request_id")
+    path = land([messages])
+    for turn in range(3):
+        stream = files.stream_files(spark, path, messages.schema)
+        files.finish(
+            fulfillment.start_fulfillment(
+                stream, work, F.lit(at(3600 * turn)), fail_some, policy=RetryPolicy()
+            )
+        )
+        waiting = spark.read.parquet(f"{work}/waiting/batch_id={turn}")
+        assert {r.attempt for r in waiting.collect()} <= {turn + 2}
+    assert waiting.count() == 0
+    outcomes = fulfillment.read_outcomes(spark, work)
+    assert outcomes.count() == messages.count()
 
 
 def test_stream_join_gives_matches_and_overdue_orders(spark, land, work):
@@ -386,7 +497,14 @@ def test_jobs_from_messages_to_status(spark, folder, land, work):
     )
     stream = files.stream_files(spark, land([done], "done"), done.schema)
     files.finish(
-        jobs.order_status(stream, lambda: store, f"{work}/status", interval=None, send=send)
+        jobs.order_status(
+            stream,
+            lambda: store,
+            f"{work}/status",
+            interval=None,
+            send=send,
+            policy=RetryPolicy(max_attempts=1),
+        )
     )
     changes = fulfillment.read_changes(spark, f"{work}/status", store.schema["order_short_code"])
     assert changes.count() == 19

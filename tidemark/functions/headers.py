@@ -46,6 +46,17 @@ def metadata_headers(
     )
 
 
+def headers_of(metadata: Column) -> Column:
+    """The five headers of a metadata struct."""
+    return metadata_headers(
+        metadata["event_id"],
+        metadata["event_version"],
+        metadata["occurred_at"],
+        metadata["entity_type"],
+        metadata["entity_id"],
+    )
+
+
 def metadata_texts(headers: Column) -> Column:
     """The five metadata headers as texts, null where one is missing."""
     return F.struct(

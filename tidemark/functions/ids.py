@@ -16,9 +16,15 @@ def random_uuid() -> Column:
 def stable_uuid(kind: str, key: Column) -> Column:
     """UUID text made from a digest of ``kind:key``."""
     digest = F.md5(F.concat(F.lit(f"{kind}:"), key.cast("string")))
-    return F.regexp_replace(
-        digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"
-    )
+    # A list of one is bound to ``d``, so the digest is made once for its five parts.
+    return F.transform(
+        F.array(digest),
+        lambda d: F.concat(
+            F.substring(d, 1, 8), F.lit("-"), F.substring(d, 9, 4), F.lit("-"),
+            F.substring(d, 13, 4), F.lit("-"), F.substring(d, 17, 4), F.lit("-"),
+            F.substring(d, 21, 12),
+        ),
+    )[0]
 
 
 def parse_uuid(text: Column) -> Column:

@@ -10,8 +10,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.config import OutboxPolicy, StreamPolicy, WINDOW_SIZES
+from tidemark.config import OutboxPolicy, RetryPolicy, StreamPolicy, WINDOW_SIZES
 from tidemark.operators import fulfillment as steps
+from tidemark.sources import files
 from tidemark.sources import messages as M
 from tidemark.sources.topics import Send
 from tidemark.streaming import fulfillment, metrics, relay, snapshot
@@ -25,12 +26,27 @@ def order_metrics(
     interval: str | None = StreamPolicy.checkpoint_interval,
     send: Send | None = None,
 ) -> list:
-    """Placed messages to windowed metrics. The event has no total, so lines are summed."""
-    events = M.placed_events(messages, F.current_timestamp())
-    good = events.where(F.col("metadata.state") == "ok").select("event_time", amount)
+    """Placed messages to windowed metrics. The event has no total, so lines are summed.
+
+    A message whose time is not known (no or default metadata, or none that parses) is in no
+    window; ``set_aside`` holds it with the reason, so that none goes away unseen.
+    """
+    decoded = M.decode_placed(messages, F.current_timestamp())
+    reason = M.disposition()
+    events = M.timed(decoded.where(reason == "ok")).select("event_time", amount)
+    aside = decoded.where(reason != "ok").select(
+        "key", "value", "headers", "partition", "offset", reason.alias("reason")
+    )
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        files.replace_batch(batch, f"{folder}/set_aside", batch_id)
+
     return [
-        metrics.start_metrics(good, size, folder, interval, send=send, amount=amount)
-        for size in sizes
+        files.start(aside, keep, f"{folder}/set_aside_offsets", interval),
+        *(
+            metrics.start_metrics(events, size, folder, interval, send=send, amount=amount)
+            for size in sizes
+        ),
     ]
 
 
@@ -70,10 +86,11 @@ def fulfillment_service(
     hook: steps.Hook = steps.accept_all,
     interval: str | None = StreamPolicy.checkpoint_interval,
     send: Send | None = None,
+    policy: RetryPolicy = RetryPolicy(),
 ):
     """Placed messages to fulfilled messages and dead letters."""
     return fulfillment.start_fulfillment(
-        messages, folder, F.current_timestamp(), hook, interval, send
+        messages, folder, F.current_timestamp(), hook, interval, send, policy
     )
 
 
@@ -84,13 +101,14 @@ def order_status(
     unknown_order: str = "dead_letter",
     interval: str | None = StreamPolicy.checkpoint_interval,
     send: Send | None = None,
+    policy: RetryPolicy = RetryPolicy(),
 ):
-    """Fulfilled messages to status changes."""
+    """Fulfilled messages to status changes. Messages that do not decode are set aside."""
     now = F.current_timestamp()
     events = M.decode_fulfilled(messages, now)
     return fulfillment.start_status_apply(
-        events.where(F.col("metadata.state") != "malformed").select(
-            "order_short_code", "fulfilled_at", "partition", "offset"
+        events.select(
+            "order_short_code", "fulfilled_at", "partition", "offset", "value", "metadata"
         ),
         order_store,
         "order_short_code",
@@ -100,4 +118,5 @@ def order_status(
         unknown_order=unknown_order,
         interval=interval,
         send=send,
+        policy=policy,
     )

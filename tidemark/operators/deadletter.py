@@ -25,7 +25,8 @@ def dead_letters(
 ) -> DataFrame:
     """Messages for the service's dead-letter topic, with the failure also as columns.
 
-    ``failed`` has the key, the value, ``partition, offset, error_type, error_message``.
+    ``failed`` has the key, the value, ``partition, offset, error_type, error_message``. A
+    message without headers (null) gets the failure headers alone.
     """
     failure = headers.dead_letter_headers(
         F.lit(original_topic),
@@ -35,12 +36,16 @@ def dead_letters(
         F.col("error_type"),
         F.col("error_message"),
     )
+    all_headers = failure
+    if own_headers is not None:
+        none = F.array().cast("array<struct<key:string,value:binary>>")
+        all_headers = F.concat(F.coalesce(own_headers, none), failure)
     return failed.select(
         F.lit(service).alias("service"),
         F.lit(SERVICE_TOPICS[service]).alias("topic"),
         F.col(key).cast("string").alias("key"),
         F.col(value).alias("value"),
-        (failure if own_headers is None else F.concat(own_headers, failure)).alias("headers"),
+        all_headers.alias("headers"),
         F.lit(original_topic).alias("original_topic"),
         F.col("partition").cast("int").alias("partition"),
         F.col("offset").cast("bigint").alias("offset"),

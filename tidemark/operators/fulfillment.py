@@ -47,24 +47,26 @@ def fulfilled_events(processed: DataFrame, fulfilled_at: Column) -> DataFrame:
     )
 
 
-def first_fulfilled(placed: DataFrame, fulfilled: DataFrame, key: str) -> DataFrame:
-    """Earliest fulfillment not before the order: ``key, placed_at, fulfilled_at``.
+def first_fulfilled(placed: DataFrame, fulfilled: DataFrame, key: str, *keep: str) -> DataFrame:
+    """Earliest fulfillment not before the order: ``key, placed_at, fulfilled_at``, and ``keep``.
 
     An inner join, so that a hot key can be split on either side before the aggregate.
     """
     return (
-        placed.select(key, "placed_at")
+        placed.select(key, "placed_at", *keep)
         .join(fulfilled.select(key, "fulfilled_at"), key)
         .where(F.col("fulfilled_at") >= F.col("placed_at"))
-        .groupBy(key, "placed_at")
+        .groupBy(key, "placed_at", *keep)
         .agg(F.min("fulfilled_at").alias("fulfilled_at"))
     )
 
 
 def placed_fulfilled(placed: DataFrame, fulfilled: DataFrame, key: str) -> DataFrame:
-    """Every placed order with its first fulfillment, null while it is pending."""
-    done = first_fulfilled(placed, fulfilled, key).select(key, "fulfilled_at")
-    return placed.join(done, key, "left")
+    """Every placed order with its first fulfillment, null while it is pending.
+
+    The key need not be unique: an order is matched by key and placing time.
+    """
+    return placed.join(first_fulfilled(placed, fulfilled, key), [key, "placed_at"], "left")
 
 
 def latency_ms() -> Column:
@@ -77,13 +79,14 @@ def fulfillment_metrics(
     """Pending and fulfilled orders, rate in percent and mean latency per placing window.
 
     Orders are counted in one narrow scan; only the fulfilled ones go through the join.
+    Orders with the same key and time are one row with a number until they are counted.
     """
     window = times.window_start(F.col("placed_at"), size).alias("window_start")
     all_orders = placed.groupBy(window).agg(F.count("*").alias("placed"))
-    done = (
-        first_fulfilled(placed, fulfilled, key)
-        .groupBy(window)
-        .agg(F.count("*").alias("_done"), F.sum(latency_ms()).alias("_latency"))
+    alike = placed.groupBy(key, "placed_at").agg(F.count("*").alias("_n"))
+    matched = first_fulfilled(alike, fulfilled, key, "_n")
+    done = matched.groupBy(window).agg(
+        F.sum("_n").alias("_done"), F.sum(F.col("_n") * latency_ms()).alias("_latency")
     )
     fulfilled_count = F.coalesce(F.col("_done"), F.lit(0))
     return all_orders.join(done, "window_start", "left").select(

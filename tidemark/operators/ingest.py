@@ -31,13 +31,21 @@ def parse_requests(requests: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def _absent_or_uuid(text: Column) -> Column:
+    return text.isNull() | ids.parse_uuid(text).isNotNull()
+
+
 def request_rules() -> dict[str, Column]:
-    """What the store takes: a readable body, a list of items (it may be empty), counts above 0."""
+    """What the store takes: a readable body, a list of items (it may be empty), counts above
+    0, and ids that are absent (the default is taken) or UUIDs."""
     lines = F.col("items")
     return {
         "body_readable": ~F.col("malformed"),
         "items_listed": F.col("malformed") | lines.isNotNull(),
         "counts_positive": lines.isNull() | F.forall(lines, lambda i: i["count"] > 0),
+        "customer_id_valid": _absent_or_uuid(F.col("customer_id")),
+        "product_ids_valid": lines.isNull()
+        | F.forall(lines, lambda i: _absent_or_uuid(i["productId"])),
     }
 
 
@@ -89,5 +97,3 @@ def order_tables(
 
 def item_lines(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("item_lines", items.line_count(F.col("items")))
-
-

@@ -89,5 +89,13 @@ def lines_per_order(orders: DataFrame, lines: DataFrame, key: str) -> DataFrame:
 
 
 def with_items(orders: DataFrame, items: DataFrame, key: str, keep_empty: bool = True) -> DataFrame:
-    """Orders joined to their items, one row per item; orders without items are optional."""
-    return orders.join(items, key, "left" if keep_empty else "inner")
+    """Orders joined to their items, one row per item; orders without items are optional.
+
+    An inner join and the rest apart: Spark can split a hot key of an inner join on either
+    side, of a left join only on the left one.
+    """
+    found = orders.join(items, key)
+    if not keep_empty:
+        return found
+    without = orders.join(items.select(key), key, "left_anti")
+    return found.unionByName(without, allowMissingColumns=True)

@@ -17,7 +17,7 @@ from tidemark.schemas import ORDER_PAYLOAD
 
 POLICY = C.OutboxPolicy()
 
-# Stored column -> model name.
+# Stored column -> model name.
 MODEL_NAMES = {
     "id": "Id",
     "entity_type": "EntityName",
@@ -115,7 +115,10 @@ def as_claimed() -> dict[str, Column]:
 
 
 def _mark(events: DataFrame, changes: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """``columns`` where the id is in ``changes``, the old values elsewhere."""
+    """``columns`` where the id is in ``changes``, the old values elsewhere.
+
+    ``changes`` has one row per id, so no row of the table can come twice.
+    """
     touched = F.col("_touched").isNotNull()
     marked = events.join(changes.withColumn("_touched", F.lit(1)), "id", "left")
     return marked.select(
@@ -129,17 +132,17 @@ def _mark(events: DataFrame, changes: DataFrame, columns: dict[str, Column]) ->
 
 
 def claim(events: DataFrame, ids: DataFrame) -> DataFrame:
-    return _mark(events, ids.select("id"), as_claimed())
+    return _mark(events, ids.select("id").distinct(), as_claimed())
 
 
 def mark_published(events: DataFrame, ids: DataFrame) -> DataFrame:
     """Only the status changes: the publishing time is never stored."""
-    return _mark(events, ids.select("id"), {"status": F.lit("PUBLISHED")})
+    return _mark(events, ids.select("id").distinct(), {"status": F.lit("PUBLISHED")})
 
 
 def mark_failed(events: DataFrame, errors: DataFrame) -> DataFrame:
-    """``errors`` has ``id, error``."""
-    changes = errors.select("id", F.col("error").alias("_error"))
+    """``errors`` has ``id, error``; of several errors of an event the greatest text stays."""
+    changes = errors.groupBy("id").agg(F.max("error").alias("_error"))
     return _mark(events, changes, {"status": F.lit("FAILED"), "last_error": F.col("_error")})
 
 
@@ -210,6 +213,9 @@ def event_headers() -> Column:
 
 
 def in_key_order(messages: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Sorted by key and time for the write. The time is part of the range key, so one
-    busy key can lie in several partitions and still be in order from one to the next."""
-    return messages.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    """For the write to a topic: each key in one task, its messages in order.
+
+    Tasks send at the same time, so a key must not span two of them; a busy key therefore
+    is one task.
+    """
+    return messages.repartition(key).sortWithinPartitions(key, *order)

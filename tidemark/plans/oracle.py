@@ -138,6 +138,18 @@ _STORE = """store AS (
 
 _WITH_STORE = f"WITH {_DONE}, {_STORE}"
 
+# Orders under their customer as code, each with the first fulfillment after it.
+_REPEATED = """WITH shipped AS (
+    SELECT o_custkey AS code, l_shipdate AS ts
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_tax < 0.08),
+firsts AS (
+    SELECT o_custkey AS code, o_orderdate AS placed, min(ts) AS fulfilled
+    FROM (SELECT DISTINCT o_custkey, o_orderdate FROM orders)
+    JOIN shipped ON shipped.code = o_custkey AND ts >= o_orderdate GROUP BY 1, 2),
+pairs AS (
+    SELECT o_custkey AS code, o_orderdate AS placed, fulfilled
+    FROM orders LEFT JOIN firsts ON firsts.code = o_custkey AND firsts.placed = o_orderdate)"""
+
 # First fulfillment not before the order.
 _FIRST = """first AS (
     SELECT store.code, store.ts AS placed, min(done.ts) AS fulfilled
@@ -341,6 +353,12 @@ ORACLE: dict[str, str] = {
                CASE WHEN request_id % 11 = 0 THEN 'default'
                     WHEN request_id % 13 = 0 THEN 'malformed' ELSE 'ok' END AS state
         FROM outbox""",
+    "message_disposition": f"""{_WITH_OUTBOX}
+        SELECT CASE WHEN request_id % 17 = 0 THEN 'undecodable'
+                    WHEN request_id % 11 = 0 THEN 'default'
+                    WHEN request_id % 13 = 0 THEN 'malformed' ELSE 'ok' END AS disposition,
+               count(*) AS messages
+        FROM outbox GROUP BY 1""",
     "metrics_from_messages": f"""{_WITH_OUTBOX}
         SELECT epoch_us(time_bucket(INTERVAL '1 hour', occurred_at)) // 1000 AS window_start_ms,
                count(*) AS order_count, CAST(sum(n) AS BIGINT) AS item_lines
@@ -384,6 +402,12 @@ ORACLE: dict[str, str] = {
                CASE WHEN status = 'PROCESSING' AND request_id % 5 = 0
                     THEN 'timed out: ' || entity_id END AS last_error
         FROM outbox""",
+    "outbox_mark_repeated_ids": f"""{_WITH_OUTBOX}
+        SELECT id, CASE WHEN status = 'PROCESSING' AND request_id % 5 <> 0 THEN 'PUBLISHED'
+                        WHEN status = 'PROCESSING' THEN 'FAILED' ELSE status END AS status,
+               CASE WHEN status = 'PROCESSING' AND request_id % 5 = 0
+                    THEN 'the last error' END AS last_error
+        FROM outbox""",
     "outbox_by_entity": f"""{_WITH_OUTBOX}
         SELECT {_uuid('order', 'request_id')} AS order_id, entity_id AS order_short_code,
                id AS event_id, 'ORDER_PLACED' AS event_type, status AS event_status
@@ -466,6 +490,29 @@ ORACLE: dict[str, str] = {
                'x-original-topic,x-failure-timestamp,x-partition,x-offset,'
                  || 'x-exception-type,x-exception-message' AS header_keys
         FROM letters""",
+    "dead_letters_replayed": f"""{_WITH_OUTBOX}
+        SELECT entity_id AS key, entity_id AS order_short_code, customer AS customer_id,
+               CAST(0 AS BIGINT) AS items, 'ok' AS state,
+               'event-id,event-version,occurred-at,entity-type,entity-id,'
+                 || 'x-original-topic,x-failure-timestamp,x-partition,x-offset,'
+                 || 'x-exception-type,x-exception-message' AS header_keys
+        FROM outbox
+        WHERE n = 0 AND request_id % 17 <> 0
+          AND (request_id % 11 = 0 OR request_id % 13 <> 0)""",
+    "placed_fulfilled_repeated_codes": f"""{_REPEATED}
+        SELECT code AS order_short_code, epoch_us(placed) // 1000 AS placed_at_ms,
+               epoch_us(fulfilled) // 1000 AS fulfilled_at_ms
+        FROM pairs""",
+    "fulfillment_metrics_repeated_codes": f"""{_REPEATED}, days AS (
+            SELECT time_bucket(INTERVAL '24 hours', placed) AS ws, count(*) AS n,
+                   count(fulfilled) AS f,
+                   CAST(sum((epoch_us(fulfilled) // 1000) - (epoch_us(placed) // 1000)) AS BIGINT)
+                     AS latency
+            FROM pairs GROUP BY 1)
+        SELECT (epoch_us(ws) // 1000) AS window_start_ms, n AS placed, f AS fulfilled,
+               n - f AS pending, {_text(_mean('f * 10000', 'n'))} AS rate_percent,
+               CASE WHEN f > 0 THEN {_mean('latency', 'f')} END AS mean_latency_ms
+        FROM days""",
     "placed_fulfilled_join": f"""{_WITH_STORE}, {_FIRST}
         SELECT store.code AS order_short_code, (epoch_us(store.ts) // 1000) AS placed_at_ms,
                (epoch_us(fulfilled) // 1000) AS fulfilled_at_ms
@@ -549,6 +596,16 @@ ORACLE.update(
                         WHEN id % 11 <> 0 AND id % 13 = 0 THEN 'quarantine'
                         WHEN kind = 'view' THEN 'dead_letter' ELSE 'fulfilled' END AS outcome
             FROM req WHERE ok""",
+        "relay_quiet_stream": "",
+        "fulfillment_retry_stream": f"""{_WITH_REQ}
+            SELECT code AS key,
+                   CASE WHEN id % 17 = 0 THEN 'skipped'
+                        WHEN id % 11 <> 0 AND id % 13 = 0 THEN 'quarantine'
+                        WHEN id % 5 >= 3 THEN 'dead_letter' ELSE 'fulfilled' END AS outcome
+            FROM req WHERE ok""",
+        "status_retry_stream": f"""{_WITH_STORE}
+            SELECT CAST(code AS VARCHAR) AS key, count(*) AS letters
+            FROM done WHERE code NOT IN (SELECT code FROM store) GROUP BY 1""",
         "status_apply_stream": ORACLE["status_apply"],
         "fulfillment_metrics_stream": f"""
             WITH placed AS (
@@ -575,3 +632,5 @@ ORACLE.update(
             WHERE k <= 60""",
     }
 )
+
+ORACLE["relay_quiet_stream"] = ORACLE["outbox_relay_stream"]

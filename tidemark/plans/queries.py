@@ -419,6 +419,15 @@ def topic_messages(spark, folder):
     )
 
 
+@query
+def message_disposition(spark, folder):
+    """Placed messages by what becomes of them; the counts add up to all messages."""
+    decoded = messages.decode_placed(_messages(spark, folder), as_of())
+    return decoded.groupBy(messages.disposition().alias("disposition")).agg(
+        F.count("*").alias("messages")
+    )
+
+
 @query
 def metrics_from_messages(spark, folder):
     """Orders and item lines per hour; the time comes from the header, not from the value."""
@@ -486,6 +495,18 @@ def outbox_mark_published(spark, folder):
     )
 
 
+@query
+def outbox_mark_repeated_ids(spark, folder):
+    """The same ids and errors given several times: every outbox row still comes once."""
+    events = _used_outbox(spark, folder)
+    done = _processing(events, fails=False).select("id")
+    errors = _processing(events, fails=True).select(
+        "id", F.explode(F.array(F.lit("a first error"), F.lit("the last error"))).alias("error")
+    )
+    marked = outbox.mark_failed(outbox.mark_published(events, done.union(done)), errors)
+    return marked.select("id", "status", "last_error")
+
+
 @query
 def outbox_mark_failed(spark, folder):
     events = _used_outbox(spark, folder)
@@ -692,6 +713,30 @@ def dead_letters_merged(spark, folder):
     )
 
 
+@query
+def dead_letters_replayed(spark, folder):
+    """Refused placed messages as letters, and the letters decoded back to events."""
+    decoded = messages.decode_placed(_messages(spark, folder), as_of())
+    readable = F.col("placed").isNotNull() & (F.col("metadata.state") != "malformed")
+    refused = refuse_empty(decoded.where(readable)).where(F.col("error_type").isNotNull())
+    letters = deadletter.dead_letters(
+        refused,
+        "fulfillment-service",
+        C.TOPIC_ORDER_PLACED,
+        as_of(),
+        own_headers=headers.headers_of(F.col("metadata")),
+    )
+    again = messages.decode_placed(letters.drop("order_short_code"), as_of())
+    return again.select(
+        "key",
+        F.col("placed.orderShortCode").alias("order_short_code"),
+        F.col("placed.customerId").alias("customer_id"),
+        F.size("placed.items").cast("bigint").alias("items"),
+        F.col("metadata.state").alias("state"),
+        F.array_join(F.transform("headers", lambda h: h["key"]), ",").alias("header_keys"),
+    )
+
+
 @query
 def placed_fulfilled_join(spark, folder):
     return fulfillment.placed_fulfilled(
@@ -703,6 +748,35 @@ def placed_fulfilled_join(spark, folder):
     )
 
 
+def _by_customer(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Orders under the customer as code, which many orders share, and their fulfillments."""
+    code = F.col("customer_id").alias(KEY)
+    placed = tables.placed_orders(spark, folder)
+    lines = tables.fulfilled(spark, folder).select(KEY, "fulfilled_at")
+    owners = placed.select(F.col(KEY).alias("_order"), code)
+    done = lines.withColumnRenamed(KEY, "_order").join(owners, "_order").drop("_order")
+    return placed.select(code, "placed_at"), done
+
+
+@query
+def placed_fulfilled_repeated_codes(spark, folder):
+    """A code that many orders share: each order gets the first fulfillment after it."""
+    placed, done = _by_customer(spark, folder)
+    return fulfillment.placed_fulfilled(placed, done, KEY).select(
+        KEY,
+        times.millis(F.col("placed_at")).alias("placed_at_ms"),
+        times.millis(F.col("fulfilled_at")).alias("fulfilled_at_ms"),
+    )
+
+
+@query
+def fulfillment_metrics_repeated_codes(spark, folder):
+    placed, done = _by_customer(spark, folder)
+    return fulfillment.fulfillment_metrics(placed, done, KEY).withColumn(
+        "window_start", times.millis(F.col("window_start"))
+    ).withColumnRenamed("window_start", "window_start_ms")
+
+
 @query
 def fulfillment_metrics_24h(spark, folder):
     return fulfillment.fulfillment_metrics(

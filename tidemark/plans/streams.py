@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.config import RetryPolicy
 from tidemark.functions import times
 from tidemark.operators import metrics, ordered
 from tidemark.plans.queries import EVENT_ORDER, KEY, as_of, flag, flaky_publish, query, refuse_empty
@@ -108,6 +109,65 @@ def fulfillment_stream(spark, folder):
     return fulfillment.read_outcomes(spark, out)
 
 
+def _later(hours: int):
+    return as_of() + F.make_dt_interval(hours=F.lit(hours))
+
+
+@query
+def relay_quiet_stream(spark, folder):
+    """One attempt per start, and no new rows after the first: failed events still come up."""
+    out = new_folder(spark, "relay-quiet")
+    limit = relay.outbox.POLICY.retry_limit
+    for _ in range(limit + 1):
+        rows = tables.used_outbox(_event_stream(spark, folder))
+        files.finish(relay.start_relay(rows, flaky_publish, out, as_of(), limit))
+    return relay.final_states(relay.read_ledger(spark, out))
+
+
+def fail_some(placed: DataFrame) -> DataFrame:
+    """Processing that fails the first 0 to 4 times, by the place of the message."""
+    number = (F.col("offset") * tables.SOURCE_PARTITIONS + F.col("partition")) % 5
+    failed = F.col("attempt") <= number
+    return placed.withColumns(
+        {
+            "error_type": F.when(failed, F.lit("Busy")),
+            "error_message": F.when(failed, F.lit("try again")),
+        }
+    )
+
+
+@query
+def fulfillment_retry_stream(spark, folder):
+    """Each message is tried up to three times, one start apart."""
+    out = new_folder(spark, "fulfillment-retry")
+    policy = RetryPolicy()
+    for turn in range(policy.max_attempts):
+        messages = tables.placed_messages(tables.fresh_outbox(_event_stream(spark, folder)))
+        files.finish(
+            fulfillment.start_fulfillment(
+                messages, out, _later(turn), fail_some, policy=policy
+            )
+        )
+    return fulfillment.read_outcomes(spark, out)
+
+
+@query
+def status_retry_stream(spark, folder):
+    """Letters per code: one for each event whose order did not turn up in three tries."""
+    out = new_folder(spark, "status-retry")
+    policy = RetryPolicy()
+    for turn in range(policy.max_attempts):
+        events = tables.fulfilled_of(tables.stream(spark, folder, "lineitem"))
+        store = lambda: tables.stored_orders(spark, folder)
+        files.finish(
+            fulfillment.start_status_apply(
+                events, store, KEY, out, _later(turn), EVENT_ORDER, policy=policy
+            )
+        )
+    letters = spark.read.schema("key string").parquet(f"{out}/dead_letters")
+    return letters.groupBy("key").agg(F.count("*").alias("letters"))
+
+
 @query
 def status_apply_stream(spark, folder):
     out = new_folder(spark, "status")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import config as C
-from tidemark.functions import headers, items, times
+from tidemark.functions import headers, ids, items, times
 from tidemark.functions.once import once
 from tidemark.operators import metrics, outbox
 from tidemark.schemas import ORDER_FULFILLED, ORDER_PLACED
@@ -34,9 +34,18 @@ def decode_placed(messages: DataFrame, now: Column) -> DataFrame:
     )
 
 
+def disposition() -> Column:
+    """What a decoded placed message is good for: ``ok``, ``undecodable``, ``default`` (its
+    metadata is the default one, so its time is not known) or ``malformed``."""
+    return F.when(F.col("placed").isNull(), "undecodable").otherwise(F.col("metadata.state"))
+
+
 def placed_events(messages: DataFrame, now: Column) -> DataFrame:
     """Decoded events with ``event_time`` from the occurred-at header and ``item_lines``."""
-    decoded = decode_placed(messages, now).where(F.col("placed").isNotNull())
+    return timed(decode_placed(messages, now).where(F.col("placed").isNotNull()))
+
+
+def timed(decoded: DataFrame) -> DataFrame:
     return decoded.withColumns(
         {
             "event_time": F.col("metadata.occurred_at"),
@@ -46,27 +55,30 @@ def placed_events(messages: DataFrame, now: Column) -> DataFrame:
 
 
 def decode_fulfilled(messages: DataFrame, now: Column) -> DataFrame:
-    """Messages of the fulfilled topic as ``order_short_code, customer_id, fulfilled_at``."""
+    """Adds ``order_short_code, customer_id, fulfilled_at`` and ``metadata`` to messages of the
+    fulfilled topic.
+
+    Values that do not decode are kept with a null code, to be set aside.
+    """
     decoded = once(messages, "_event", F.from_json(F.col("value").cast("string"), ORDER_FULFILLED))
     event = F.col("_event")
     return headers.read_metadata(
-        decoded.where(event["orderShortCode"].isNotNull())
-        .withColumns(
+        decoded.withColumns(
             {
                 "order_short_code": event["orderShortCode"],
                 "customer_id": event["customerId"],
                 "fulfilled_at": times.from_millis(event["fulfillmentTimestamp"]),
             }
-        )
-        .drop("_event"),
+        ).drop("_event"),
         _position_id(),
         now,
     )
 
 
 def _position_id() -> Column:
-    """Stands in for a missing event id: the place of the message never changes."""
-    return F.concat_ws("-", F.lit("default"), F.col("partition"), F.col("offset"))
+    """Stands in for a missing event id: a UUID of the place of the message, which never changes."""
+    place = F.concat_ws("-", F.col("partition"), F.col("offset"))
+    return ids.stable_uuid("default", place)
 
 
 def placed_messages(events: DataFrame) -> DataFrame:

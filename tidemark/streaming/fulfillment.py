@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark import config as C
+from tidemark.config import RetryPolicy
+from tidemark.functions import headers
 from tidemark.operators import deadletter, fulfillment, orders
 from tidemark.sources import files, messages
 from tidemark.sources.topics import Send
+from tidemark.streaming import retries
 
 
 def route(decoded: DataFrame, hook: fulfillment.Hook) -> DataFrame:
@@ -34,27 +37,38 @@ def start_fulfillment(
     hook: fulfillment.Hook = fulfillment.accept_all,
     interval: str | None = None,
     send: Send | None = None,
+    policy: RetryPolicy = RetryPolicy(max_attempts=1),
 ):
     """Each batch: decode, process, then fulfilled events and dead letters to their tables.
 
+    A message whose processing fails waits for its next try; after ``policy.max_attempts``
+    tries it becomes a dead letter. The hook sees the number of the try as ``attempt``.
     With ``send`` both are sent to their topics as well, after the tables are written.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = route(messages.decode_placed(batch, as_of), hook).persist()
+        messages_in = retries.without_heartbeat(batch)
+        kept = retries.waiting_schema(messages_in.schema)
+        tried, waiting = retries.with_due(messages_in, folder, batch_id, as_of)
+        routed = route(messages.decode_placed(tried, as_of), hook).persist()
         try:
             fulfilled = routed.where(F.col("outcome") == "fulfilled")
             files.replace_batch(
                 fulfillment.fulfilled_events(fulfilled, as_of), f"{folder}/fulfilled", batch_id
             )
-            failed = routed.where(F.col("outcome") == "dead_letter")
+            failed, gone = retries.again(
+                routed.where(F.col("outcome") == "dead_letter"), as_of, policy
+            )
+            retries.keep_waiting(
+                waiting.unionByName(failed.select(kept.fieldNames())), folder, batch_id, kept
+            )
             files.replace_batch(
                 deadletter.dead_letters(
-                    failed,
+                    gone,
                     "fulfillment-service",
                     C.TOPIC_ORDER_PLACED,
                     as_of,
-                    own_headers=F.col("headers"),
+                    own_headers=headers.headers_of(F.col("metadata")),
                 ),
                 f"{folder}/dead_letters",
                 batch_id,
@@ -77,7 +91,8 @@ def start_fulfillment(
         finally:
             routed.unpersist()
 
-    return files.start(placed_messages, write, f"{folder}/offsets", interval)
+    stream = retries.with_heartbeat(placed_messages)
+    return files.start(stream, write, f"{folder}/offsets", interval)
 
 
 def read_outcomes(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,23 +124,38 @@ def start_status_apply(
     unknown_order: str = "dead_letter",
     interval: str | None = None,
     send: Send | None = None,
+    policy: RetryPolicy = RetryPolicy(max_attempts=1),
 ):
     """Each batch: first event per order, skip what is done, record changes, split unknowns.
 
     The order store is not rewritten; changes are appended, and ``current_orders`` merges
     them. Of the store and of earlier changes only the rows of this batch's orders are used.
+    An event whose order is unknown waits for its next try, as it may have overtaken the
+    order; after ``policy.max_attempts`` tries each such event is one dead letter, or one row
+    of ``acknowledged`` with ``unknown_order="acknowledge"``. Events that do not decode (a
+    null key) or have malformed metadata go to ``quarantine``.
     """
     changes_folder = f"{folder}/changes"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        events = orders.first_per_key(batch, key, event_order).persist()
+        rows = retries.without_heartbeat(batch)
+        kept = retries.waiting_schema(rows.schema)
+        tried, waiting = retries.with_due(rows, folder, batch_id, as_of)
+        tried = tried.persist()
         try:
+            bad = F.col(key).isNull()
+            if "metadata" in rows.columns:
+                bad = bad | (F.col("metadata.state") == "malformed")
+            bad = F.coalesce(bad, F.lit(False))
+            files.replace_batch(tried.where(bad), f"{folder}/quarantine", batch_id)
+            good = tried.where(~bad)
+            events = orders.first_per_key(good, key, event_order)
             # Once counted, the planner knows the size of the batch: a small one is broadcast
             # and the store and the earlier changes are scanned without a shuffle.
-            events.count()
+            tried.count()
             codes = events.select(key)
-            schema = change_schema(events.schema[key])
+            schema = change_schema(rows.schema[key])
             fresh = events
             if batch_id > 0:
                 earlier = files.read_batches(spark, changes_folder, schema, before=batch_id)
@@ -140,30 +170,45 @@ def start_status_apply(
                 changes_folder,
                 batch_id,
             )
-            missing = orders.unknown(events, touched, key)
-            files.replace_batch(
-                unknown_letters(missing, key, as_of)
-                if unknown_order == "dead_letter"
-                else unknown_letters(missing.limit(0), key, as_of),
-                f"{folder}/dead_letters",
-                batch_id,
+            missing, gone = retries.again(orders.unknown(good, touched, key), as_of, policy)
+            retries.keep_waiting(
+                waiting.unionByName(missing.select(kept.fieldNames())), folder, batch_id, kept
             )
-            if send:
-                letters = spark.read.parquet(files.batch_path(f"{folder}/dead_letters", batch_id))
-                send(messages.letter_messages(letters))
+            letters = unknown_letters(gone, key, as_of, rows.columns)
+            if unknown_order == "dead_letter":
+                files.replace_batch(letters, f"{folder}/dead_letters", batch_id)
+                if send:
+                    send(
+                        messages.letter_messages(
+                            files.read_batch(
+                                spark, f"{folder}/dead_letters", batch_id, letters.schema
+                            )
+                        )
+                    )
+            else:
+                files.replace_batch(
+                    letters.select("key", "partition", "offset"), f"{folder}/acknowledged", batch_id
+                )
         finally:
-            events.unpersist()
+            tried.unpersist()
+
+    return files.start(retries.with_heartbeat(fulfilled), write, f"{folder}/offsets", interval)
 
-    return files.start(fulfilled, write, f"{folder}/offsets", interval)
 
+def unknown_letters(
+    events: DataFrame, key: str, failed_at: Column, value_columns: list[str] | None = None
+) -> DataFrame:
+    """Fulfilled events without an order, as dead letters that can be replayed.
 
-def unknown_letters(events: DataFrame, key: str, failed_at: Column) -> DataFrame:
-    """Fulfilled events without an order, as dead letters."""
+    The original value and the metadata headers (parsed, or the default ones) are kept where
+    the events carry them; else the value is the event as JSON.
+    """
     code = F.col(key).cast("string")
+    own = F.to_json(F.struct(*(value_columns or events.columns)))
     rows = events.withColumns(
         {
+            "value": F.col("value").cast("string") if "value" in events.columns else own,
             "key": code,
-            "value": F.to_json(F.struct(*events.columns)),
             "error_type": F.lit("UnknownOrder"),
             "error_message": F.concat(F.lit("no order has the code "), code),
         }
@@ -171,7 +216,10 @@ def unknown_letters(events: DataFrame, key: str, failed_at: Column) -> DataFrame
     for name, kind in (("partition", "int"), ("offset", "bigint")):
         if name not in events.columns:
             rows = rows.withColumn(name, F.lit(None).cast(kind))
-    return deadletter.dead_letters(rows, "order-service", C.TOPIC_ORDER_FULFILLED, failed_at)
+    metadata = headers.headers_of(F.col("metadata")) if "metadata" in events.columns else None
+    return deadletter.dead_letters(
+        rows, "order-service", C.TOPIC_ORDER_FULFILLED, failed_at, own_headers=metadata
+    )
 
 
 def read_changes(spark: SparkSession, folder: str, key_field: StructField) -> DataFrame:

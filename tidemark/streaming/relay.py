@@ -13,6 +13,7 @@ from tidemark.operators import deadletter, outbox
 from tidemark.schemas import ORDER_PLACED, OUTBOX_EVENTS
 from tidemark.sources import files, messages
 from tidemark.sources.topics import Send
+from tidemark.streaming import retries
 
 LEDGER = StructType(
     [
@@ -37,16 +38,22 @@ def start_relay(
     """One attempt per event and round; failed events go on in the next round or batch.
 
     A batch touches its new rows and the ones carried over, never the whole outbox.
-    ``rounds=1`` suits a live query; ``limit + 1`` settles every event in its own batch.
+    ``rounds=1`` suits a live query; ``limit + 1`` settles every event in its own batch. The
+    setting may change at a restart: each batch notes its rounds, and the next one carries
+    over what the last of them left. A heartbeat makes a batch per trigger (or per start,
+    without an interval), so failed events are tried again while the outbox is quiet.
     With ``send`` messages and dead letters go to their topics too, after the ledger.
     """
-    ledger = f"{folder}/ledger"
+    ledger, noted = f"{folder}/ledger", f"{folder}/rounds"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        due = batch.select(*_OUTBOX_COLUMNS)
-        if batch_id > 0:
-            due = due.unionByName(_to_retry(spark, ledger, batch_id - 1, rounds - 1, limit))
+        due = retries.without_heartbeat(batch).select(*_OUTBOX_COLUMNS)
+        before = files.carried_row(spark, noted, batch_id)
+        if before:
+            due = due.unionByName(
+                _to_retry(spark, ledger, batch_id - 1, before["rounds"] - 1, limit)
+            )
         due = outbox.eligible(due, limit=limit)
         for turn in range(rounds):
             tried = outbox.attempt(due, publish, limit).select(*LEDGER.fieldNames())
@@ -58,14 +65,25 @@ def start_relay(
         files.replace_batch(published, f"{folder}/published", batch_id)
         letters = exhausted_letters(done, failed_at)
         files.replace_batch(letters, f"{folder}/dead_letters", batch_id)
+        files.replace_batch(
+            spark.range(1).select(F.lit(rounds).alias("rounds")), noted, batch_id
+        )
         if send:
-            send(published)
-            send(messages.letter_messages(letters))
-
-    return files.start(outbox_rows, write, f"{folder}/offsets", interval)
+            # The written tables: nothing is computed or sampled a second time.
+            send(files.read_batch(spark, f"{folder}/published", batch_id, published.schema))
+            send(
+                messages.letter_messages(
+                    files.read_batch(spark, f"{folder}/dead_letters", batch_id, letters.schema)
+                )
+            )
+
+    return files.start(
+        retries.with_heartbeat(outbox_rows), write, f"{folder}/offsets", interval
+    )
 
 
 def _to_retry(spark: SparkSession, ledger: str, batch_id: int, turn: int, limit: int) -> DataFrame:
+    """What the last round of a batch left to do; earlier rounds passed theirs on to it."""
     rows = files.read_batch(spark, f"{ledger}/round={turn}", batch_id, LEDGER)
     failed = (F.col("status") == "FAILED") & (F.col("retry_count") < limit)
     return rows.where(failed).select(*_OUTBOX_COLUMNS)
@@ -88,10 +106,18 @@ def exhausted_letters(done: DataFrame, failed_at: Column) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    """Every attempt, with ``batch_id`` and ``round``."""
+    """Every attempt of finished batches, with ``batch_id`` and ``round``."""
     extra = StructType.fromDDL("batch_id bigint, round int")
     schema = StructType([*LEDGER.fields, *extra.fields])
-    return spark.read.schema(schema).parquet(f"{folder}/ledger")
+    noted = spark.read.schema("rounds int, batch_id bigint").parquet(f"{folder}/rounds")
+    # A batch that broke off may have left more rounds than its second run made.
+    return (
+        spark.read.schema(schema)
+        .parquet(f"{folder}/ledger")
+        .join(noted, "batch_id")
+        .where(F.col("round") < F.col("rounds"))
+        .drop("rounds")
+    )
 
 
 def final_states(ledger: DataFrame) -> DataFrame:
