@@ -14,19 +14,16 @@ def pair(key: str, text: Column) -> Column:
     return F.struct(F.lit(key).alias("key"), F.encode(text, "UTF-8").alias("value"))
 
 
-def _pick(headers: Column, key: str, position: int) -> Column:
-    named = F.filter(headers, lambda h: h["key"] == key)
-    return F.decode(F.try_element_at(named, F.lit(position))["value"], "UTF-8")
-
-
 def first_value(headers: Column, key: str) -> Column:
     """Text of the first header with this key, null when there is none."""
-    return _pick(headers, key, 1)
+    # The place comes from the array of keys, by compiled code and without a function per pair.
+    place = F.nullif(F.array_position(headers["key"], key), F.lit(0)).cast("int")
+    return F.decode(F.try_element_at(headers["value"], place), "UTF-8")
 
 
 def last_value(headers: Column, key: str) -> Column:
     """Text of the last header with this key, empty when there is none."""
-    return F.coalesce(_pick(headers, key, -1), F.lit(""))
+    return F.coalesce(first_value(F.reverse(headers), key), F.lit(""))
 
 
 def metadata_headers(

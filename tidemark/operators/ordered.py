@@ -18,13 +18,22 @@ from tidemark.functions import times
 from tidemark.functions.money import half_up_mean, hundredths_text, whole_div
 from tidemark.session import settle
 
+ROWS_PER_SLICE = 2_000_000
 _POSITION_BITS = 33  # rows of a partition in monotonically_increasing_id
 _GROUPS_PER_BLOCK = 100_000
 _EARLIER = (Window.unboundedPreceding, -1)
 
 
-def _slices(df: DataFrame, order_by: Sequence[str], slices: int | None) -> DataFrame:
-    count = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _count_slices(df: DataFrame) -> int:
+    """As many as there are shuffle partitions, and more where slices would grow too large."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(partitions, -(-df.count() // ROWS_PER_SLICE))
+
+
+def _slices(
+    df: DataFrame, order_by: Sequence[str], slices: int | None, work: str | None = None
+) -> DataFrame:
+    count = slices or _count_slices(df)
     return settle(
         df.repartitionByRange(count, *order_by)
         .sortWithinPartitions(*order_by)
@@ -32,13 +41,20 @@ def _slices(df: DataFrame, order_by: Sequence[str], slices: int | None) -> DataF
         .withColumn(
             "_position",
             F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)),
-        )
+        ),
+        work,
     )
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str], slices: int | None = None) -> DataFrame:
-    """Adds ``n``, the 1-based place in the global order. ``order_by`` must be unique."""
-    cut = _slices(df, order_by, slices)
+def number_rows(
+    df: DataFrame, order_by: Sequence[str], slices: int | None = None, work: str | None = None
+) -> DataFrame:
+    """Adds ``n``, the 1-based place in the global order. ``order_by`` must be unique.
+
+    ``work`` is a folder for the slices that the caller uses again and again; each run
+    replaces what the one before left there.
+    """
+    cut = _slices(df, order_by, slices, work)
     sizes = cut.groupBy("_slice").agg(F.count("*").alias("_rows"))
     starts = sizes.select(
         "_slice",
@@ -60,6 +76,7 @@ def order_count_snapshot(
     counted: int = 0,
     total: int = 0,
     slices: int | None = None,
+    work: str | None = None,
 ) -> DataFrame:
     """Cumulative ``order_count`` and ``item_lines`` after each ``every``-th order.
 
@@ -67,9 +84,8 @@ def order_count_snapshot(
     ``every`` rows is one small group; only the groups are shuffled, and the running sum
     goes over blocks of groups that are equally large by construction.
     """
-    numbered = number_rows(orders.select(*order_by, lines), order_by, slices).withColumn(
-        "n", F.col("n") + counted
-    )
+    rows = number_rows(orders.select(*order_by, lines), order_by, slices, work)
+    numbered = rows.withColumn("n", F.col("n") + counted)
     place = F.col("n") - 1
     value = F.coalesce(F.col(lines), F.lit(0)).cast("bigint")
     block_rows = every * _GROUPS_PER_BLOCK
@@ -157,13 +173,14 @@ def tag_late(
     tolerance: str = "60 seconds",
     seen: Column | None = None,
     slices: int | None = None,
+    work: str | None = None,
 ) -> DataFrame:
     """Adds ``is_late``: more than ``tolerance`` behind the newest earlier arrival.
 
     Exactly ``tolerance`` behind is on time. ``seen`` is the newest event time of earlier
     batches, if any. ``arrival_order`` must be unique.
     """
-    cut = _slices(events, arrival_order, slices)
+    cut = _slices(events, arrival_order, slices, work)
     tops = cut.groupBy("_slice").agg(F.max(event_time).alias("_top"))
     before = tops.select(
         "_slice",

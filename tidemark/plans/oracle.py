@@ -597,6 +597,9 @@ ORACLE.update(
                         WHEN kind = 'view' THEN 'dead_letter' ELSE 'fulfilled' END AS outcome
             FROM req WHERE ok""",
         "relay_quiet_stream": "",
+        "status_apply_batches_stream": f"""{_WITH_STORE}
+            SELECT code AS order_short_code, CAST(1 AS BIGINT) AS changes
+            FROM store WHERE status = 'PENDING' AND code IN (SELECT code FROM done)""",
         "fulfillment_retry_stream": f"""{_WITH_REQ}
             SELECT code AS key,
                    CASE WHEN id % 17 = 0 THEN 'skipped'
@@ -634,3 +637,5 @@ ORACLE.update(
 )
 
 ORACLE["relay_quiet_stream"] = ORACLE["outbox_relay_stream"]
+for _name in ("windowed_metrics", "order_count_snapshot", "late_split"):
+    ORACLE[f"{_name}_batches_stream"] = ORACLE[f"{_name}_stream"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import RetryPolicy
@@ -17,6 +17,21 @@ from tidemark.streaming import metrics as live
 SHARDS = 64  # counters of the sharded snapshot; rows are dealt out by event id
 
 
+BATCHES = 3
+
+
+def _in_batches(spark: SparkSession, rows: DataFrame, order: Column, name: str) -> DataFrame:
+    """The rows as a stream of three micro-batches, cut by ``order``; one file each."""
+    out = new_folder(spark, name)
+    cuts = [i / BATCHES for i in range(1, BATCHES)]
+    place = order.cast("double")
+    low, high = rows.agg(F.percentile_approx(place, F.lit(cuts))).first()[0]
+    parts = [place <= low, (place > low) & (place <= high), place > high]
+    for part in parts:
+        rows.where(part).coalesce(1).write.mode("append").parquet(out)
+    return files.stream_files(spark, out, rows.schema, files_per_batch=1)
+
+
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return tables.with_instants(tables.stream(spark, folder, "events"))
 
@@ -109,6 +124,62 @@ def fulfillment_stream(spark, folder):
     return fulfillment.read_outcomes(spark, out)
 
 
+def _event_batches(spark: SparkSession, folder: str, order: Column) -> DataFrame:
+    raw = tables.table(spark, folder, "events")
+    return tables.with_instants(_in_batches(spark, raw, order, "events"))
+
+
+def _micros(name: str) -> Column:
+    return F.unix_micros(F.col(name).cast("timestamp"))
+
+
+@query
+def windowed_metrics_batches_stream(spark, folder):
+    """The same windows from several micro-batches: state and watermark go from one to the next."""
+    out = new_folder(spark, "metrics")
+    orders_in = lambda: tables.purchases(_event_batches(spark, folder, _micros("ts")))
+    for size in ("1m", "1h", "24h"):
+        files.finish(live.start_metrics(orders_in(), size, out))
+    return metrics.metric_records(live.read_metrics(spark, out), as_of())
+
+
+@query
+def order_count_snapshot_batches_stream(spark, folder):
+    out = new_folder(spark, "snapshot")
+    placed = tables.purchases(_event_batches(spark, folder, _micros("ts"))).select(
+        "event_time", "event_id", (F.col("k") % 3 + 1).alias("item_lines")
+    )
+    files.finish(snapshot.start_snapshot(placed, ["event_time", "event_id"], out))
+    return ordered.snapshot_records(snapshot.read_snapshots(spark, out), as_of())
+
+
+@query
+def late_split_batches_stream(spark, folder):
+    """Batches in order of arrival: what was seen so far comes from the batch before."""
+    out = new_folder(spark, "late")
+    delay = F.when(F.col("event_id") % 7 == 0, 600_000_000).otherwise(0)
+    arrived = tables.arrivals(_event_batches(spark, folder, _micros("ts") + delay))
+    files.finish(late.start_late_split(arrived, ["arrived_at", "event_id"], out))
+    return late.read_split(spark, out).select("event_id", flag(F.col("is_late")).alias("is_late"))
+
+
+@query
+def status_apply_batches_stream(spark, folder):
+    """Repeats of an order fall into different micro-batches; only the first one counts."""
+    out = new_folder(spark, "status")
+    lines = tables.table(spark, folder, "lineitem")
+    events = tables.fulfilled_of(
+        _in_batches(spark, lines, _micros("l_shipdate"), "lines")
+    )
+    store = lambda: tables.stored_orders(spark, folder)
+    files.finish(
+        fulfillment.start_status_apply(events, store, KEY, out, as_of(), EVENT_ORDER)
+    )
+    changes = fulfillment.read_changes(spark, out, events.schema[KEY])
+    pairs = changes.groupBy(KEY).agg(F.count("*").alias("changes"))
+    return pairs.withColumn("changes", F.col("changes").cast("bigint"))
+
+
 def _later(hours: int):
     return as_of() + F.make_dt_interval(hours=F.lit(hours))
 

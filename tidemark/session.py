@@ -76,13 +76,17 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write ``df`` as a table below the shared folder and read on from there.
 
     This cuts the lineage like a checkpoint, but the table is columnar: a later pass over
-    one or two columns reads only those.
+    one or two columns reads only those. A given ``folder`` is replaced, so that a caller
+    that settles again and again leaves one table only.
     """
     spark = df.sparkSession
-    folder = new_folder(spark, "settled")
-    df.write.parquet(folder)
+    if folder:
+        df.write.mode("overwrite").parquet(folder)
+    else:
+        folder = new_folder(spark, "settled")
+        df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

@@ -18,6 +18,7 @@ def start_late_split(
     event_time: str = "event_time",
     tolerance: str = "60 seconds",
     interval: str | None = None,
+    slices: int | None = None,
 ):
     """Split each batch against the newest event time seen so far.
 
@@ -28,7 +29,9 @@ def start_late_split(
     def write(batch: DataFrame, batch_id: int) -> None:
         before = files.carried_row(batch.sparkSession, seen_table, batch_id)
         seen = F.lit(before["seen"] if before else None).cast("timestamp")
-        tagged = ordered.tag_late(batch, arrival_order, event_time, tolerance, seen)
+        tagged = ordered.tag_late(
+            batch, arrival_order, event_time, tolerance, seen, slices, f"{folder}/work"
+        )
         files.replace_batch(tagged, f"{folder}/events", batch_id, by=["is_late"])
         files.replace_batch(
             batch.agg(F.greatest(F.max(event_time), seen).alias("seen")), seen_table, batch_id

@@ -25,6 +25,7 @@ def start_snapshot(
     lines: str = "item_lines",
     every: int = 10,
     interval: str | None = None,
+    slices: int | None = None,
 ):
     """Global snapshots in arrival order of the batches and ``order_by`` inside a batch.
 
@@ -37,7 +38,9 @@ def start_snapshot(
         before = files.carried_row(batch.sparkSession, totals, batch_id)
         counted, total = (before["counted"], before["total"]) if before else (0, 0)
         files.replace_batch(
-            ordered.order_count_snapshot(batch, order_by, lines, every, counted, total),
+            ordered.order_count_snapshot(
+                batch, order_by, lines, every, counted, total, slices, f"{folder}/work"
+            ),
             f"{folder}/snapshots",
             batch_id,
         )
