@@ -42,6 +42,18 @@ def shares(total: int, each: int, least: int = 1) -> int:
     return max(least, math.ceil(total / each))
 
 
+# Rows of a narrow table (ids or keys) that a broadcast may hold: some 32 MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows, to be broadcast if a count shows that they are few; else joined by shuffle.
+
+    Give it a written table of narrow rows.
+    """
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def slices(batch, rows: int):
     """An Arrow batch in runs of at most ``rows`` rows, so that outputs stay small."""
     for start in range(0, batch.num_rows, rows):

@@ -30,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shares, slices, text_bytes, text_or_empty
-from tidemark.llm.grouping import link_classes
+from tidemark.llm.common import shares, slices, small, text_bytes, text_or_empty
+from tidemark.llm.grouping import link_classes, near_sizes
 from tidemark.llm.hashing import LOW64, ODD, mix, uniform
 from tidemark.llm.line_dedup import similar
 from tidemark.session import settle
@@ -289,11 +289,14 @@ def edit_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .groupBy("digest", "fingerprint", "n_chars")
         .agg(F.min("doc_id").alias("node"))
     )
-    members = kinds.select("node", F.col("n_chars").alias("size"), F.explode(bands).alias("bucket"))
+    members = kinds.select(
+        "node", F.col("n_chars").alias("size"), F.lit(0).alias("mark"), F.explode(bands).alias("bucket")
+    )
     members = members.dropDuplicates(["bucket", "node"])
 
     def load(nodes: DataFrame) -> DataFrame:
-        return settle(texts.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "semi"))
+        ids = small(nodes).withColumnRenamed("node", "doc_id")
+        return settle(texts.join(ids, "doc_id", "semi"))
 
     def verify(pairs: DataFrame, content: DataFrame) -> DataFrame:
         first = content.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
@@ -301,7 +304,7 @@ def edit_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         joined = pairs.join(first, "a").join(second, "b")
         return joined.filter(similar("text_a", "text_b", threshold)).select("a", "b").distinct()
 
-    roots = link_classes(members, load, verify, threshold)
+    roots = link_classes(members, near_sizes(threshold), load, verify)
     named = kinds.join(roots, "node", "left").select(
         "digest", F.coalesce("root", "node").alias("class_id")
     )

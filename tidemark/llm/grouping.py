@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import settle
@@ -68,16 +68,19 @@ def _state(edges: DataFrame) -> tuple:
 
 def link_classes(
     members: DataFrame,
+    alike: Callable[[Column, Column, Column, Column], Column],
     load: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame, DataFrame], DataFrame],
-    ratio: float,
+    partnered: Callable[[DataFrame, DataFrame], tuple] | None = None,
 ) -> DataFrame:
     """(node, root) of all nodes that are linked to another one.
 
-    ``members`` has bucket, node and size; two nodes of a bucket are compared if the smaller
-    size is at least ``ratio`` of the larger, as the similarity cannot reach it otherwise.
+    ``members`` has bucket, node, size and mark; two nodes of a bucket are compared if their
+    sizes and marks are ``alike`` (size, mark, size, mark).
     ``load`` gets the nodes that meet another one and fetches what ``verify`` needs of them;
-    ``verify`` gets pairs (a, b) and that, and keeps the similar ones.
+    ``verify`` gets pairs (a, b) and that, and keeps the similar ones. ``partnered`` gets the
+    nodes of buckets that the hubs did not settle; it returns (node, size, mark) of those that
+    may be similar to another one, and an ``alike`` over these marks to use from then on.
     """
     spark: SparkSession = members.sparkSession
     sizes = members.groupBy("bucket").agg(F.count("*").alias("in_bucket")).filter("in_bucket > 1")
@@ -85,23 +88,31 @@ def link_classes(
     # The item that shares its buckets with most others is the likely centre of its family.
     centre = together.groupBy("node").agg(F.sum("in_bucket").alias("shared"))
     shared = settle(together.drop("in_bucket").join(centre, "node"))
-    content = load(centre.select("node"))
+    content = load(settle(centre.select("node")))
     links, tested = spark.createDataFrame([], PAIRS), spark.createDataFrame([], PAIRS)
     roots = spark.createDataFrame([], ROOTS)
     for turn in range(3):
         open_members = _open(shared, roots) if turn else shared.withColumn("root", F.col("node"))
         if turn:
             open_members = settle(open_members)
+            if turn == 1 and partnered and not open_members.isEmpty():
+                nodes = open_members.select("node").distinct()
+                marked, alike = partnered(nodes, content)
+                left = open_members.drop("root", "size", "mark").join(marked, "node")
+                shared = settle(left)
+                open_members = settle(_open(shared, roots))
             if open_members.isEmpty():
                 break
-        pairs = _hub_pairs(open_members, ratio) if turn < 2 else _all_pairs(open_members, ratio)
+        last = turn == 2 or (turn and partnered)
+        pairs = (_all_pairs if last else _hub_pairs)(open_members, alike)
         asked = settle(pairs.distinct().join(tested, ["a", "b"], "anti"))
         found = settle(verify(asked, content))
-        if found.isEmpty():
-            tested = tested.union(asked)
-            continue
-        links, tested = links.union(found), tested.union(asked)
-        roots = components(links)
+        tested = tested.union(asked)
+        if not found.isEmpty():
+            links = links.union(found)
+            roots = components(links)
+        if last:
+            break
     return roots
 
 
@@ -117,34 +128,43 @@ def _open(shared: DataFrame, roots: DataFrame) -> DataFrame:
     return labelled.join(mixed, "bucket", "semi")
 
 
-def _near(one: str, other: str, ratio: float):
-    return F.least(one, other) >= ratio * F.greatest(one, other)
+def near_sizes(ratio: float):
+    """Sizes of which the smaller is at least ``ratio`` of the larger; marks do not matter."""
+    return lambda size, mark, other, other_mark: (
+        F.least(size, other) >= ratio * F.greatest(size, other) - 1e-9
+    )
+
+
+def _alike(alike) -> Column:
+    return alike(F.col("size"), F.col("mark"), F.col("hub_size"), F.col("hub_mark"))
 
 
 def _ordered():
     return F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
 
 
-def _hub_pairs(members: DataFrame, ratio: float) -> DataFrame:
+def _hub_pairs(members: DataFrame, alike) -> DataFrame:
     """Each bucket's most shared node with all nodes of other classes."""
-    best = F.struct("shared", (-F.col("node")).alias("first"), "root", "size")
+    best = F.struct("shared", (-F.col("node")).alias("first"), "root", "size", "mark")
     hubs = members.groupBy("bucket").agg(F.max(best).alias("h")).select(
         "bucket",
         (-F.col("h.first")).alias("hub"),
         F.col("h.root").alias("hub_root"),
         F.col("h.size").alias("hub_size"),
+        F.col("h.mark").alias("hub_mark"),
     )
     joined = members.join(hubs, "bucket").filter(F.col("root") != F.col("hub_root"))
-    return joined.filter(_near("size", "hub_size", ratio)).select(*_ordered())
+    return joined.filter(_alike(alike)).select(*_ordered())
 
 
-def _all_pairs(members: DataFrame, ratio: float) -> DataFrame:
+def _all_pairs(members: DataFrame, alike) -> DataFrame:
     """All pairs of nodes of different classes that share a bucket."""
     other = members.select(
         "bucket",
         F.col("node").alias("hub"),
         F.col("root").alias("hub_root"),
         F.col("size").alias("hub_size"),
+        F.col("mark").alias("hub_mark"),
     )
     joined = members.join(other, "bucket").filter(F.col("root") < F.col("hub_root"))
-    return joined.filter(_near("size", "hub_size", ratio)).select(*_ordered())
+    return joined.filter(_alike(alike)).select(*_ordered())

@@ -27,11 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
-from tidemark.llm.grouping import link_classes
+from tidemark.llm.common import slices, small
+from tidemark.llm.grouping import link_classes, near_sizes
+from tidemark.llm.hashing import LOW64, ODD, mix, powers, uniform
 from tidemark.session import settle
 
 RUN = 5
@@ -39,31 +40,17 @@ THRESHOLD = 0.8
 BANDS = 20
 PER_BAND = 5
 REGISTERS = BANDS * PER_BAND
+# Hash classes of runs in the bound on what two documents have in common.
+RUN_CLASSES = 64
 # Characters per group of documents that is sketched at once.
 GROUP = 1 << 19
 
-ODD = np.uint64(0x9E3779B97F4A7C15)
-LOW64 = (1 << 64) - 1
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finalizer: shift, multiply, shift, multiply, shift."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
 
 def runs_of(texts: list[str], run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of every run of words; texts are words joined by single spaces."""
     data = np.frombuffer((" ".join(texts) + " ").encode(), np.uint8)
-    power = _powers(len(data) + 1, int(ODD))
-    inverse = _powers(len(data) + 1, pow(int(ODD), -1, 1 << 64))
+    power = powers(len(data) + 1, int(ODD))
+    inverse = powers(len(data) + 1, pow(int(ODD), -1, 1 << 64))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
     ends = np.flatnonzero(data == 32)  # the end of each word
@@ -78,13 +65,13 @@ def runs_of(texts: list[str], run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
     place, doc, last = place[begins], doc[begins], last[begins]
     stop = ends[np.minimum(place + run, last) - 1]
     start = starts[place]
-    return doc, _mix((sums[stop] - sums[start]) * inverse[start])
+    return doc, mix((sums[stop] - sums[start]) * inverse[start])
 
 
 def signatures(doc: np.ndarray, run: np.ndarray, docs: int, registers: int = REGISTERS):
     """BagMinHash: earliest times by document and register, and total weights."""
     kinds, at, weight = np.unique(
-        _mix(run + doc.astype(np.uint64) * ODD), return_index=True, return_counts=True
+        mix(run + doc.astype(np.uint64) * ODD), return_index=True, return_counts=True
     )
     doc, run = doc[at], run[at]
     total = np.bincount(doc, weight, docs).astype(np.int64)
@@ -95,7 +82,7 @@ def signatures(doc: np.ndarray, run: np.ndarray, docs: int, registers: int = REG
         low, width = (0, 1) if block == 0 else (1 << (block - 1), 1 << (block - 1))
         own = np.flatnonzero(weight > low)
         if len(own):
-            state = _mix(run[own] + np.uint64((block + 1) * int(ODD) & LOW64))
+            state = mix(run[own] + np.uint64((block + 1) * int(ODD) & LOW64))
             owned = np.minimum(weight[own] - low, width)
             parts.append((doc[own], state, np.full(len(own), width), owned))
     if not parts:
@@ -104,9 +91,9 @@ def signatures(doc: np.ndarray, run: np.ndarray, docs: int, registers: int = REG
     time, latest = np.zeros(len(doc)), np.full(docs, np.inf)
     while len(doc):
         state = state + ODD
-        drawn = _mix(state)
-        time = time - np.log1p(-(drawn >> np.uint64(11)).astype(np.float64) * 2.0**-53) / width
-        more = _mix(drawn ^ ODD)
+        drawn = mix(state)
+        time = time - np.log1p(-uniform(drawn)) / width
+        more = mix(drawn ^ ODD)
         register = ((more >> np.uint64(32)) * np.uint64(registers)) >> np.uint64(32)
         hits = time <= latest[doc]
         level = (more & np.uint64(0xFFFFFFFF)) * width.astype(np.uint64) >> np.uint64(32)
@@ -125,7 +112,7 @@ def bands(signature: np.ndarray, count: int = BANDS) -> np.ndarray:
     keys = np.arange(1, count + 1, dtype=np.uint64)[None, :] * ODD
     keys = np.repeat(keys, len(signature), axis=0)
     for column in range(bits.shape[2]):
-        keys = _mix(keys + bits[:, :, column] * ODD)
+        keys = mix(keys + bits[:, :, column] * ODD)
     return keys.view(np.int64)
 
 
@@ -208,6 +195,73 @@ def _verified(threshold: float):
     return check
 
 
+def _distinct_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document's distinct runs with their weights."""
+    for whole in batches:
+        for batch in slices(whole, 200):
+            texts = [normal(t) for t in batch["text"].to_pylist()]
+            for group in _groups(texts):
+                own = [i for i in group if texts[i]]
+                if not own:
+                    continue
+                doc, run = runs_of([texts[i] for i in own])
+                order = np.lexsort((run, doc))
+                doc, run = doc[order], run[order]
+                new = np.ones(len(doc), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (run[1:] != run[:-1])
+                at = np.flatnonzero(new)
+                ids = batch["doc_id"].to_numpy()[np.array(own)[doc[at]]]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids),
+                        pa.array(run[at].view(np.int64)),
+                        pa.array(np.diff(np.append(at, len(doc)))),
+                    ],
+                    names=["node", "run", "weight"],
+                )
+
+
+def _partnered(threshold: float):
+    """Nodes that can reach the threshold with another one of the given nodes, with marks.
+
+    A mark counts, per hash class of runs, the weight of the runs that another node has too.
+    The classwise minima of two marks add up to the most the two can have in common, and a
+    similarity of t needs t / (1 + t) of both sizes in common. Nothing that could reach the
+    threshold is left out; hashes that collide only keep more.
+    """
+
+    def possible(size: Column, mark: Column, other: Column, other_mark: Column) -> Column:
+        common = F.aggregate(
+            F.zip_with(mark, other_mark, lambda one, two: F.least(one, two)),
+            F.lit(0).cast("long"),
+            lambda total, least: total + least,
+        )
+        return common >= threshold / (1 + threshold) * (size + other) - 1e-6
+
+    def keep(nodes: DataFrame, content: DataFrame) -> tuple:
+        texts = content.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "semi")
+        runs = settle(texts.mapInArrow(_distinct_runs, "node long, run long, weight long"))
+        shared = (
+            runs.groupBy("run")
+            .agg(F.min("node").alias("low"), F.max("node").alias("high"))
+            .filter("low <> high")
+            .select("run")
+        )
+        whole = runs.groupBy("node").agg(F.sum("weight").alias("size"))
+        kind = F.pmod("run", F.lit(RUN_CLASSES))
+        parts = [
+            F.sum(F.when(kind == place, F.col("weight")).otherwise(0)) for place in range(RUN_CLASSES)
+        ]
+        common = runs.join(shared, "run").groupBy("node").agg(
+            F.sum("weight").alias("common"), F.array(*parts).alias("mark")
+        )
+        marked = common.join(whole, "node")
+        reach = F.col("common") >= threshold * F.col("size") - 1e-6
+        return marked.filter(reach).drop("common"), possible
+
+    return keep
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id and n_runs of each row."""
     sketched = settle(sketches(docs))
@@ -216,10 +270,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .groupBy("digest")
         .agg(F.min("doc_id").alias("node"), F.first("size").alias("size"), F.first("keys").alias("keys"))
     )
-    members = kinds.select("node", "size", F.explode("keys").alias("bucket"))
+    members = kinds.select(
+        "node", "size", F.lit(0).alias("mark"), F.explode("keys").alias("bucket")
+    )
 
     def load(nodes: DataFrame) -> DataFrame:
-        ids = nodes.select(F.col("node").alias("doc_id"))
+        ids = small(nodes).withColumnRenamed("node", "doc_id")
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         return settle(texts.filter("text is not null").join(ids, "doc_id", "semi"))
 
@@ -229,7 +285,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         joined = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
         return joined.mapInArrow(_verified(threshold), "a long, b long").distinct()
 
-    roots = link_classes(members, load, verify, threshold)
+    roots = link_classes(
+        members, near_sizes(threshold), load, verify, _partnered(threshold)
+    )
     named = kinds.select("digest", "node").join(roots, "node", "left").select(
         "digest", F.coalesce("root", "node").alias("class_id")
     )
