@@ -178,8 +178,8 @@ def identify(
                 if found and places:
                     bits = found.all_bits([texts[i].lower().encode() for i in places])
                     best = bits.argmin(1)
-                    likely = np.exp2(-(bits - bits.min(1, keepdims=True)))
-                    for i, place, score in zip(places, best, 1 / likely.sum(1)):
+                    odds = np.exp2(-(bits - bits.min(1, keepdims=True)))
+                    for i, place, score in zip(places, best, 1 / odds.sum(1)):
                         preds[i], scores[i] = found.langs[place], float(score)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
