@@ -14,7 +14,8 @@ document falls into blocks: an anchor and the consecutive strings that belong to
    which of its anchors other shards have too.
 2. Blocks of such anchors, and of anchors that two documents of the shard have, go to their
    bucket, equal blocks once per shard with their least id.
-3. A bucket builds suffix arrays over its distinct blocks by Larsson-Sadakane refinement, in
+3. A block whose anchor has no other content is settled: its strings are nowhere else. Over
+   the other distinct blocks a bucket builds suffix arrays by Larsson-Sadakane refinement, in
    parts of bounded size, reads the common prefixes by Kasai's rule, and takes the least id of
    each group of equal strings. Parts are merged by binary search in their sorted strings.
    A mask per block says which of its strings an earlier document has.
@@ -48,15 +49,17 @@ LENGTH = 50
 ANCHOR = 16
 SPAN = LENGTH - ANCHOR + 1  # places an anchor can have in a string
 SHARD_BYTES = 4 << 20
-BUCKET_BYTES = 32 << 20
-PART_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20
+PART_BYTES = 1 << 20
+# A bucket is judged in this many turns, by the last bits of the anchors.
+TURNS = 16
 LAST_ID = np.iinfo(np.int64).max
 LOW32 = np.uint64(0xFFFFFFFF)
 
 SHARDS = "shard long, doc_ids array<long>, sizes array<long>, packed binary"
 ANCHORS = "shard long, bucket long, anchors binary"
 MASKS = "shard long, step int, bucket long, masks binary"
-BLOCKS = "shard long, bucket long, sizes binary, ids binary, packed binary"
+BLOCKS = "shard long, bucket long, sizes binary, anchors binary, ids binary, packed binary"
 RESULT = (
     "doc_id long, n_bytes long, span_starts array<long>, span_ends array<long>, kept binary"
 )
@@ -185,7 +188,7 @@ class Shard:
         return np.flatnonzero(flags[self.anchor])
 
     def entries(self, blocks: np.ndarray):
-        """Distinct contents of the blocks: (entry of each block, contents, least ids, buckets)."""
+        """Distinct contents of the blocks: (entry of each block, contents, least ids, anchors)."""
         data = self.data.tobytes()
         known: dict[bytes, int] = {}
         entry = np.empty(len(blocks), np.int64)
@@ -194,9 +197,9 @@ class Shard:
             entry[at] = known.setdefault(data[first : first + count + LENGTH - 1], len(known))
         ids = np.full(len(known), LAST_ID, np.int64)
         np.minimum.at(ids, entry, self.ids[self.doc[blocks]])
-        bucket = np.zeros(len(known), np.int64)
-        bucket[entry] = (self.anchors[self.anchor[blocks]] >> np.uint64(32)).astype(np.int64)
-        return entry, list(known), ids, bucket
+        anchors = np.zeros(len(known), np.uint64)
+        anchors[entry] = self.anchors[self.anchor[blocks]]
+        return entry, list(known), ids, anchors
 
 
 def _shard_of(row: pa.Table, buckets: int) -> Shard:
@@ -252,22 +255,27 @@ def _send(buckets: int):
         out: list[tuple] = []
         if row.num_rows:
             shard = _shard_of(row, buckets)
-            _, contents, ids, bucket = shard.entries(shard.shared(_masks_of(replies, 1)))
+            _, contents, ids, anchors = shard.entries(shard.shared(_masks_of(replies, 1)))
+            bucket = (anchors >> np.uint64(32)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             kinds, starts = np.unique(bucket[order], return_index=True)
             for kind, own in zip(kinds, np.split(order, starts[1:])):
                 parts = [contents[i] for i in own]
                 sizes = np.array([len(p) for p in parts], np.uint8)
                 packed = _packed(b"".join(parts))
-                out.append((int(kind), sizes.tobytes(), _packed(ids[own].tobytes()), packed))
-        columns = list(zip(*out)) or [()] * 4
+                keys = (anchors[own] & LOW32).astype("<u4").tobytes()
+                out.append(
+                    (int(kind), sizes.tobytes(), keys, _packed(ids[own].tobytes()), packed)
+                )
+        columns = list(zip(*out)) or [()] * 5
         return pa.table(
             {
                 "shard": pa.array([row["shard"][0].as_py()] * len(out) if out else [], pa.int64()),
                 "bucket": pa.array(columns[0], pa.int64()),
                 "sizes": pa.array(columns[1], pa.binary()),
-                "ids": pa.array(columns[2], pa.binary()),
-                "packed": pa.array(columns[3], pa.binary()),
+                "anchors": pa.array(columns[2], pa.binary()),
+                "ids": pa.array(columns[3], pa.binary()),
+                "packed": pa.array(columns[4], pa.binary()),
             }
         )
 
@@ -318,7 +326,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
             return order
         members = order[at]
         own, further = rank[members], rank[np.minimum(members + depth, n)]
-        by = np.lexsort((further, own))
+        by = np.argsort(own << 32 | (further + 1))
         members, own, further = members[by], own[by], further[by]
         order[at] = members
         new = np.ones(len(at), bool)
@@ -414,43 +422,71 @@ def merge_parts(parts: list[Part]) -> None:
         part.least = least
 
 
+def _masks(contents: list[bytes], anchors: np.ndarray, ids: np.ndarray, part_bytes: int):
+    """Per distinct content, the strings that a document before its least one has."""
+    out = np.zeros(len(contents), np.uint64)
+    _, kind, times = np.unique(anchors, return_inverse=True, return_counts=True)
+    open_ones = np.flatnonzero(times[kind] > 1)
+    if not len(open_ones):
+        return out
+    # Blocks of one anchor stand together, so that few strings lie in two parts.
+    open_ones = open_ones[np.argsort(kind[open_ones], kind="stable")]
+    ends = np.cumsum([len(contents[i]) for i in open_ones])
+    cuts = np.unique(ends // part_bytes, return_index=True)[1][1:]
+    groups = np.split(open_ones, cuts)
+    parts = [Part([contents[i] for i in group], ids[group]) for group in groups]
+    merge_parts(parts)
+    for group, part in zip(groups, parts):
+        out[group] = part.masks()
+    return out
+
+
 def _judge(part_bytes: int):
     def judge(group: pa.Table) -> pa.Table:
-        known: dict[bytes, int] = {}
-        entries, ids = [], []
-        for sizes, packed_ids, packed in zip(
-            *(group[n].to_pylist() for n in ("sizes", "ids", "packed"))
+        rows = []
+        for sizes, keys, ids, packed in zip(
+            *(group[n].to_pylist() for n in ("sizes", "anchors", "ids", "packed"))
         ):
-            data, at, own = _opened(packed), 0, []
-            for size in sizes:
-                own.append(known.setdefault(data[at : at + size], len(known)))
-                at += size
-            entries.append(np.array(own, np.int64))
-            ids.append(np.frombuffer(_opened(packed_ids), np.int64))
-        least = np.full(len(known), LAST_ID, np.int64)
-        for own, docs in zip(entries, ids):
-            np.minimum.at(least, own, docs)
-        contents = list(known)
-        ends = np.cumsum([len(c) for c in contents])
-        cuts = np.unique(ends // part_bytes, return_index=True)[1].tolist() + [len(contents)]
-        parts = [
-            Part(contents[a:b], least[a:b]) for a, b in zip(cuts[:-1], cuts[1:]) if b > a
-        ]
-        merge_parts(parts)
-        masks = np.concatenate([part.masks() for part in parts])
-        every = (np.uint64(1) << np.array([len(c) - LENGTH + 1 for c in contents], np.uint64)) - (
-            np.uint64(1)
-        )
-        replies = [
-            _packed(np.where(docs > least[own], every[own], masks[own]).tobytes())
-            for own, docs in zip(entries, ids)
-        ]
+            ends = np.cumsum(np.frombuffer(sizes, np.uint8).astype(np.int64))
+            starts = np.concatenate([[0], ends[:-1]])
+            rows.append(
+                (
+                    _opened(packed),
+                    starts,
+                    ends,
+                    np.frombuffer(keys, "<u4"),
+                    np.frombuffer(_opened(ids), np.int64),
+                    np.zeros(len(ends), np.uint64),
+                )
+            )
+        for turn in range(TURNS):
+            known: dict[bytes, int] = {}
+            picked, entries = [], []
+            for data, starts, ends, keys, _, _ in rows:
+                at = np.flatnonzero(keys % TURNS == turn)
+                spans = zip(starts[at].tolist(), ends[at].tolist())
+                own = [known.setdefault(data[a:b], len(known)) for a, b in spans]
+                picked.append(at)
+                entries.append(np.array(own, np.int64))
+            if not known:
+                continue
+            least = np.full(len(known), LAST_ID, np.int64)
+            anchors = np.zeros(len(known), np.uint32)
+            for (_, _, _, keys, ids, _), at, own in zip(rows, picked, entries):
+                np.minimum.at(least, own, ids[at])
+                anchors[own] = keys[at]
+            contents = list(known)
+            masks = _masks(contents, anchors, least, part_bytes)
+            lengths = np.array([len(c) for c in contents], np.uint64)
+            every = (np.uint64(1) << (lengths - np.uint64(LENGTH - 1))) - np.uint64(1)
+            for (_, _, _, _, ids, replies), at, own in zip(rows, picked, entries):
+                replies[at] = np.where(ids[at] > least[own], every[own], masks[own])
         return pa.table(
             {
                 "shard": group["shard"],
-                "step": pa.array([2] * len(replies), pa.int32()),
+                "step": pa.array([2] * len(rows), pa.int32()),
                 "bucket": group["bucket"],
-                "masks": pa.array(replies, pa.binary()),
+                "masks": pa.array([_packed(row[-1].tobytes()) for row in rows], pa.binary()),
             }
         )
 
@@ -466,7 +502,8 @@ def _apply(buckets: int):
             return pa.table({n: pa.array([], t) for n, t in zip(names, types)})
         shard = _shard_of(row, buckets)
         blocks = shard.shared(_masks_of(replies, 1))
-        entry, _, ids, bucket = shard.entries(blocks)
+        entry, _, ids, anchors = shard.entries(blocks)
+        bucket = (anchors >> np.uint64(32)).astype(np.int64)
         masks = np.zeros(len(ids), np.uint64)
         for kind, packed in _masks_of(replies, 2).items():
             masks[np.flatnonzero(bucket == kind)] = np.frombuffer(_opened(packed), np.uint64)
