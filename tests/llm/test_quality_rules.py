@@ -109,3 +109,12 @@ def test_no_python_in_the_plan(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     plan = quality_rules.count_rules(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_sql_gives_the_same(spark, folder):
+    import compare
+
+    from tidemark.llm.oracle import ORACLE
+
+    frame = queries.QUERIES["op4_host_quality"](spark, folder)
+    assert compare.difference(frame, compare.connect(folder), ORACLE["op4_host_quality"]) is None

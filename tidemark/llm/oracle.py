@@ -2,4 +2,61 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]"
+
+# (rule, condition) of the host rules.
+_RULES = {
+    "few": "n_words < 50",
+    "repetitive": "100 * n_repeat_words > 50 * n_words",
+    "symbols": "100 * n_symbols > 10 * n_words",
+    "dup_lines": "100 * n_dup_lines > 30 * n_words",
+}
+
+
+def _host_quality() -> str:
+    failed = ", ".join(f"CAST(count(*) FILTER ({c}) AS DOUBLE) AS {r}" for r, c in _RULES.items())
+    moments = ", ".join(
+        f"avg({r} / n) AS {r}_mean, var_pop({r} / n) AS {r}_var" for r in _RULES
+    )
+    strengths = ", ".join(
+        f"CASE WHEN {r}_var > 0 THEN {r}_mean * (1 - {r}_mean) / {r}_var - 1 ELSE 1e9 END AS {r}_k"
+        for r in _RULES
+    )
+    rates = ", ".join(f"({r} + {r}_mean * {r}_k) / (n + {r}_k)" for r in _RULES)
+    return f"""
+    WITH split AS (
+        SELECT doc_id, source, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS w
+        FROM documents),
+    threes AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM split)),
+    repeated AS (
+        SELECT doc_id, count(DISTINCT i + step) AS n
+        FROM threes, range(3) AS steps(step) WHERE times > 1 GROUP BY 1),
+    lines AS (
+        SELECT doc_id, count(*) - count(DISTINCT line) AS n
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM split)
+        WHERE regexp_matches(line, '{_WORD}') GROUP BY 1),
+    counted AS (
+        SELECT split.doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+               CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+               CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines,
+               CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words
+        FROM split LEFT JOIN lines ON lines.doc_id = split.doc_id
+        LEFT JOIN repeated ON repeated.doc_id = split.doc_id),
+    hosts AS (
+        SELECT source, count(*) AS n, {failed}
+        FROM counted WHERE source IS NOT NULL GROUP BY 1),
+    moments AS (SELECT {moments} FROM hosts),
+    prior AS (SELECT *, {strengths} FROM moments),
+    verdicts AS (
+        SELECT source, greatest({rates}) <= 0.5 AS good FROM hosts, prior)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND coalesce(good, true) AS kept
+    FROM (SELECT *, {_RULES['few']} OR {_RULES['repetitive']} AS base_failed FROM counted) c
+    LEFT JOIN verdicts ON verdicts.source = c.source"""
+
+
+ORACLE: dict[str, str] = {"op4_host_quality": _host_quality()}
