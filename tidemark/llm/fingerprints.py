@@ -289,10 +289,8 @@ def edit_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .groupBy("digest", "fingerprint", "n_chars")
         .agg(F.min("doc_id").alias("node"))
     )
-    members = kinds.select(
-        "node", F.col("n_chars").alias("size"), F.lit(0).alias("mark"), F.explode(bands).alias("bucket")
-    )
-    members = members.dropDuplicates(["bucket", "node"])
+    nodes = kinds.groupBy("node").agg(F.min("n_chars").alias("size"), F.lit(0).alias("mark"))
+    members = kinds.select("node", F.explode(bands).alias("bucket"))
 
     def load(nodes: DataFrame) -> DataFrame:
         ids = small(nodes).withColumnRenamed("node", "doc_id")
@@ -304,7 +302,7 @@ def edit_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         joined = pairs.join(first, "a").join(second, "b")
         return joined.filter(similar("text_a", "text_b", threshold)).select("a", "b").distinct()
 
-    roots = link_classes(members, near_sizes(threshold), load, verify)
+    roots = link_classes(nodes, members, near_sizes(threshold), load, verify)
     named = kinds.join(roots, "node", "left").select(
         "digest", F.coalesce("root", "node").alias("class_id")
     )

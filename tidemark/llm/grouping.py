@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small
 from tidemark.session import settle
 
 ROOTS = "node long, root long"
@@ -66,7 +67,26 @@ def _state(edges: DataFrame) -> tuple:
     return row.n, row.h
 
 
+def _together(members: DataFrame) -> DataFrame:
+    """bucket, node and in_bucket of the members of buckets that hold several nodes.
+
+    One aggregate finds those buckets. If there are two nodes they are its least and its
+    greatest one; only larger buckets, which are few, are looked up in the members again.
+    """
+    counted = members.groupBy("bucket").agg(
+        F.count("*").alias("in_bucket"), F.min("node").alias("low"), F.max("node").alias("high")
+    )
+    several = settle(counted.filter("low <> high"))
+    two = several.filter("in_bucket = 2").select(
+        "bucket", "in_bucket", F.explode(F.array("low", "high")).alias("node")
+    )
+    larger = settle(several.filter("in_bucket > 2").select("bucket", "in_bucket"))
+    more = members.join(small(larger), "bucket").select("bucket", "in_bucket", "node")
+    return settle(two.union(more))
+
+
 def link_classes(
+    nodes: DataFrame,
     members: DataFrame,
     alike: Callable[[Column, Column, Column, Column], Column],
     load: Callable[[DataFrame], DataFrame],
@@ -75,20 +95,20 @@ def link_classes(
 ) -> DataFrame:
     """(node, root) of all nodes that are linked to another one.
 
-    ``members`` has bucket, node, size and mark; two nodes of a bucket are compared if their
-    sizes and marks are ``alike`` (size, mark, size, mark).
+    ``nodes`` has node, size and mark, ``members`` has bucket and node; two nodes of a bucket
+    are compared if their sizes and marks are ``alike`` (size, mark, size, mark).
     ``load`` gets the nodes that meet another one and fetches what ``verify`` needs of them;
     ``verify`` gets pairs (a, b) and that, and keeps the similar ones. ``partnered`` gets the
     nodes of buckets that the hubs did not settle; it returns (node, size, mark) of those that
     may be similar to another one, and an ``alike`` over these marks to use from then on.
     """
     spark: SparkSession = members.sparkSession
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("in_bucket")).filter("in_bucket > 1")
-    together = settle(members.join(sizes, "bucket"))
+    together = _together(members)
     # The item that shares its buckets with most others is the likely centre of its family.
-    centre = together.groupBy("node").agg(F.sum("in_bucket").alias("shared"))
-    shared = settle(together.drop("in_bucket").join(centre, "node"))
-    content = load(settle(centre.select("node")))
+    centre = settle(together.groupBy("node").agg(F.sum("in_bucket").alias("shared")))
+    known = nodes.join(small(centre), "node")
+    shared = settle(together.drop("in_bucket").join(known, "node"))
+    content = load(centre.select("node"))
     links, tested = spark.createDataFrame([], PAIRS), spark.createDataFrame([], PAIRS)
     roots = spark.createDataFrame([], ROOTS)
     for turn in range(3):
@@ -96,8 +116,7 @@ def link_classes(
         if turn:
             open_members = settle(open_members)
             if turn == 1 and partnered and not open_members.isEmpty():
-                nodes = open_members.select("node").distinct()
-                marked, alike = partnered(nodes, content)
+                marked, alike = partnered(open_members.select("node").distinct(), content)
                 left = open_members.drop("root", "size", "mark").join(marked, "node")
                 shared = settle(left)
                 open_members = settle(_open(shared, roots))

@@ -270,9 +270,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .groupBy("digest")
         .agg(F.min("doc_id").alias("node"), F.first("size").alias("size"), F.first("keys").alias("keys"))
     )
-    members = kinds.select(
-        "node", "size", F.lit(0).alias("mark"), F.explode("keys").alias("bucket")
-    )
+    nodes = kinds.groupBy("node").agg(F.min("size").alias("size"), F.lit(0).alias("mark"))
+    members = kinds.select("node", F.explode("keys").alias("bucket"))
 
     def load(nodes: DataFrame) -> DataFrame:
         ids = small(nodes).withColumnRenamed("node", "doc_id")
@@ -286,7 +285,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         return joined.mapInArrow(_verified(threshold), "a long, b long").distinct()
 
     roots = link_classes(
-        members, near_sizes(threshold), load, verify, _partnered(threshold)
+        nodes, members, near_sizes(threshold), load, verify, _partnered(threshold)
     )
     named = kinds.select("digest", "node").join(roots, "node", "left").select(
         "digest", F.coalesce("root", "node").alias("class_id")
