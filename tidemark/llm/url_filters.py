@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices
+from tidemark.session import settle
 
 # Rule -> verdict; a rule is a host suffix followed by a path prefix.
 RULES = {
@@ -67,18 +68,30 @@ def rule_for(rules: dict[str, str] = RULES) -> Column:
 
 
 def word_counts(pages: DataFrame, most: int = VOCABULARY) -> dict[str, int]:
-    """The most frequent visible words over all pages; at most ``most`` of them."""
+    """The most frequent visible words over all pages; at most ``most`` of them.
+
+    Sixteen classes of frequency per power of two are counted first, and whole classes are
+    taken from the top, so that no more than ``most`` rows come to the driver.
+    """
     visible = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<[^>]*>", " ")
     words = F.explode(F.split(F.lower(visible), r"[^\p{L}]+"))
-    counted = (
+    counted = settle(
         pages.select(words.alias("word"))
         .filter((F.col("word") != "") & (F.char_length("word") <= LONGEST_WORD))
         .groupBy("word")
         .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(most)
+        .withColumn("kind", F.floor(F.log2("n") * 16))
     )
-    return {row.word: row.n for row in counted.collect()}
+    kinds = counted.groupBy("kind").agg(F.count("*").alias("words")).collect()  # some hundred
+    left, least = most, None
+    for row in sorted(kinds, key=lambda r: -r.kind):
+        left -= row.words
+        if left < 0:
+            break
+        least = row.kind
+    if least is None:
+        return {}
+    return {row.word: row.n for row in counted.filter(F.col("kind") >= least).collect()}
 
 
 class Words:
