@@ -91,7 +91,7 @@ def op10_bag_minhash(spark, folder):
 
 @query
 def op2_fuzzy_lines(spark, folder):
-    return line_dedup.dedup_lines(table(spark, folder, "documents")).select(
+    return line_dedup.dedup_lines(table(spark, folder, "documents"), search="sketch").select(
         "doc_id",
         "n_lines",
         "n_removed",
