@@ -55,3 +55,15 @@ def test_whole_run_stays_near_the_fluid_schedule():
                 high = v
         assert all(abs(d - min(w * low, n)) < 1 + 1e-6 for d, w, n in zip(done, weights, blocks))
     assert done == blocks and math.isclose(sum(done), slot + 1)
+
+
+def test_every_source_has_its_own_place(spark):
+    """More sources than MOST_SOURCES, and a small one with a high target."""
+    sizes = {f"s{i:03d}": 12 for i in range(mixing.MOST_SOURCES + 30)} | {"tiny": 5, None: 7}
+    targets = {s: 1.0 for s in sizes if s} | {"tiny": 40.0}
+    frame = docs_of(spark, sizes)
+    order = order_of(mixing.schedule(frame, targets, 1))
+    assert Counter(order) == Counter(sizes)
+    assert order[-7:] == [None] * 7  # no target: after all others
+    weights = {s: Fraction(w) for s, w in targets.items()}
+    assert worst_deviation(order, weights) < 1
