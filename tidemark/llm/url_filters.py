@@ -6,8 +6,10 @@ word probabilities, where an unknown word of n letters counts as 10 / (total * 1
 Multinomial naive Bayes with add-one smoothing then scores the words. It learns from the
 URLs that the rules decide.
 
-Parameters that bound what reaches the driver: ``VOCABULARY`` most frequent words, and about
-``TRAIN_URLS`` rule-decided URLs, drawn by a hash of the URL.
+All words of all pages count, whatever their number and length. The counts stay a table: the
+distinct names are taken apart into their substrings, these are joined with the counts, and
+each distinct name is split once. The model learns from about ``TRAIN_URLS`` rule-decided
+URLs, drawn by a hash of the URL; only the tokens of these reach the driver.
 
 A null URL, or one without ``://``, has an empty host and path; the classifier judges it by
 its prior. Without any rule-decided URL the verdict is allow. Rows that repeat are judged row
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import slices, small
 from tidemark.session import settle
 
 # Rule -> verdict; a rule is a host suffix followed by a path prefix.
@@ -37,9 +39,7 @@ RULES = {
     "com/fr/": "allow",
     "com/de/": "block",
 }
-VOCABULARY = 50_000
 TRAIN_URLS = 100_000
-LONGEST_WORD = 24
 
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -67,75 +67,114 @@ def rule_for(rules: dict[str, str] = RULES) -> Column:
     return F.coalesce(*fits, F.lit(None).cast("string"))
 
 
-def word_counts(pages: DataFrame, most: int = VOCABULARY) -> dict[str, int]:
-    """The most frequent visible words over all pages; at most ``most`` of them.
-
-    Sixteen classes of frequency per power of two are counted first, and whole classes are
-    taken from the top, so that no more than ``most`` rows come to the driver.
-    """
+def counted_words(pages: DataFrame) -> DataFrame:
+    """word and n of every visible word over all pages."""
     visible = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<[^>]*>", " ")
     words = F.explode(F.split(F.lower(visible), r"[^\p{L}]+"))
-    counted = settle(
+    return settle(
         pages.select(words.alias("word"))
-        .filter((F.col("word") != "") & (F.char_length("word") <= LONGEST_WORD))
+        .filter("word <> ''")
         .groupBy("word")
         .agg(F.count("*").alias("n"))
-        .withColumn("kind", F.floor(F.log2("n") * 16))
     )
-    kinds = counted.groupBy("kind").agg(F.count("*").alias("words")).collect()  # some hundred
-    left, least = most, None
-    for row in sorted(kinds, key=lambda r: -r.kind):
-        left -= row.words
-        if left < 0:
-            break
-        least = row.kind
-    if least is None:
-        return {}
-    return {row.word: row.n for row in counted.filter(F.col("kind") >= least).collect()}
+
+
+def best_split(name: str, known: dict[str, float], unknown: float) -> list[str]:
+    """The split of the highest score; a word of n letters that is not known has unknown - n."""
+    longest = max(map(len, known), default=0)
+    best = [(0.0, 0)]
+    # Greatest score + position so far: where an unknown word does best to start.
+    reach = (0.0, 0)
+    for end in range(1, len(name) + 1):
+        choices = [(reach[0] + unknown - end, reach[1])]
+        for start in range(max(0, end - longest), end):
+            score = known.get(name[start:end])
+            if score is not None:
+                choices.append((best[start][0] + score, start))
+        best.append(max(choices))
+        reach = max(reach, (best[end][0] + end, end))
+    words, end = [], len(name)
+    while end:
+        start = best[end][1]
+        words.append(name[start:end])
+        end = start
+    return words[::-1]
+
+
+def scores(counts: dict[str, int], total: int) -> tuple[dict[str, float], float]:
+    """log10 probabilities of the words, and the part of an unknown word without its length."""
+    known = {word: math.log10(n / total) for word, n in counts.items()}
+    return known, 1 - math.log10(total)
 
 
 class Words:
-    """Unigram Viterbi over a counted vocabulary."""
+    """Unigram Viterbi over counts at hand."""
 
     def __init__(self, counts: dict[str, int]):
-        self.counts = counts
-        total = sum(counts.values()) or 1
-        self.known = {word: math.log10(n / total) for word, n in counts.items()}
-        self.unknown = 1 - math.log10(total)
+        self.known, self.unknown = scores(counts, sum(counts.values()) or 1)
         self.split = lru_cache(maxsize=50_000)(self._split)
 
-    def __reduce__(self):
-        return Words, (self.counts,)
-
     def _split(self, name: str) -> list[str]:
-        best = [(0.0, 0)]
-        for end in range(1, len(name) + 1):
-            best.append(
-                max(
-                    (best[start][0] + self._score(name[start:end]), start)
-                    for start in range(max(0, end - LONGEST_WORD), end)
-                )
+        return best_split(name, self.known, self.unknown)
+
+
+def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names of host and path in order, marked by where they stand; numbers by their length."""
+    for whole in batches:
+        for batch in slices(whole, 5000):
+            rows = []
+            columns = (batch[n].to_pylist() for n in ("row", "host", "path", "learn"))
+            for row, host, path, learn in zip(*columns):
+                found = [("h:", n) for n in TOKEN.findall(host)]
+                found += [("p:", n) for n in TOKEN.findall(path.lower())]
+                for at, (mark, name) in enumerate(found):
+                    shown = f"#{len(name)}" if name.isdigit() else name
+                    rows.append((row, at, mark, shown, learn))
+            kinds = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
+                names=["row", "at", "mark", "name", "learn"],
             )
-        words, end = [], len(name)
-        while end:
-            start = best[end][1]
-            words.append(name[start:end])
-            end = start
-        return words[::-1]
-
-    def _score(self, word: str) -> float:
-        return self.known.get(word, self.unknown - len(word))
-
-    def tokens(self, host: str, path: str) -> list[str]:
-        """Words of host and path, marked by where they stand; numbers by their length."""
-        out = []
-        for mark, text in (("h:", host), ("p:", path.lower())):
-            for name in TOKEN.findall(text):
-                if name.isdigit():
-                    out.append(f"{mark}#{len(name)}")
-                else:
-                    out.extend(mark + word for word in self.split(name))
-        return out
+
+
+def split_names(names: DataFrame, counted: DataFrame) -> DataFrame:
+    """name and its words, for a table of distinct names and that of all counts."""
+    about = counted.agg(
+        F.sum("n").alias("total"), F.collect_set(F.char_length("word")).alias("lengths")
+    ).first()
+    total, lengths = int(about.total or 1), sorted(about.lengths)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch["name"].to_pylist():
+                for n in lengths:
+                    if n > len(name) or name.startswith("#"):
+                        break
+                    found = list({name[at : at + n] for at in range(len(name) - n + 1)})
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * len(found)), pa.array(found)], names=["name", "word"]
+                    )
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 1000):
+                out = []
+                for name, words in zip(batch["name"].to_pylist(), batch["words"].to_pylist()):
+                    counts = {w["word"]: w["n"] for w in words or ()}
+                    whole_name = name.startswith("#")
+                    out.append([name] if whole_name else best_split(name, *scores(counts, total)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["name"], pa.array(out, pa.list_(pa.string()))], names=["name", "words"]
+                )
+
+    known = (
+        names.mapInArrow(parts, "name string, word string")
+        .join(small(counted), "word")
+        .groupBy("name")
+        .agg(F.collect_list(F.struct("word", "n")).alias("words"))
+    )
+    joined = names.join(known, "name", "left")
+    return settle(joined.mapInArrow(split, "name string, words array<string>"))
 
 
 class Bayes:
@@ -156,78 +195,76 @@ class Bayes:
         return self.prior + sum(self.odds.get(token, 0.0) for token in tokens)
 
 
-def train(ruled: DataFrame, words, most: int = TRAIN_URLS) -> Bayes:
-    """Fit on about ``most`` of the URLs that a rule decides."""
-    decided = ruled.filter("rule is not null")
+def train(ruled: DataFrame, tokens: DataFrame) -> Bayes:
+    """Fit on the counts (learn, token, n) of the drawn URLs; ``ruled`` has all decided ones."""
     docs = {"allow": 0, "block": 0}
+    decided = ruled.filter("rule is not null")
     for row in decided.groupBy("decided").agg(F.count("*").alias("n")).collect():  # two rows
         docs[row.decided] = row.n
-    share = min(1.0, most / max(1, sum(docs.values())))
-    drawn = decided.filter(
-        F.pmod(F.xxhash64("host", "path"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)
-    )
-
-    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = words.value
-        for batch in batches:
-            counts: Counter = Counter()
-            columns = (batch[n].to_pylist() for n in ("host", "path", "decided"))
-            for host, path, verdict in zip(*columns):
-                counts.update((verdict, token) for token in own.tokens(host, path))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([v for v, _ in counts], pa.string()),
-                    pa.array([t for _, t in counts], pa.string()),
-                    pa.array(counts.values(), pa.int64()),
-                ],
-                names=["decided", "token", "n"],
-            )
-
-    tokens: dict[str, Counter] = {"allow": Counter(), "block": Counter()}
-    counted = (
-        drawn.select("host", "path", "decided")
-        .mapInArrow(segment, "decided string, token string, n long")
-        .groupBy("decided", "token")
-        .agg(F.sum("n").alias("n"))
-    )
-    for row in counted.collect():  # at most the tokens of the drawn URLs
-        tokens[row.decided][row.token] = row.n
-    return Bayes(docs, tokens)
+    counts: dict[str, Counter] = {"allow": Counter(), "block": Counter()}
+    for row in tokens.collect():  # at most the tokens of the drawn URLs
+        counts[row.learn][row.token] = row.n
+    return Bayes(docs, counts)
 
 
 def judge(
-    pages: DataFrame,
-    rules: dict[str, str] = RULES,
-    vocabulary: int = VOCABULARY,
-    most: int = TRAIN_URLS,
+    pages: DataFrame, rules: dict[str, str] = RULES, most: int = TRAIN_URLS
 ) -> DataFrame:
     """page_id, host, path, rule, verdict and block_odds (natural log; by the classifier)."""
     context = pages.sparkSession.sparkContext
     verdicts = F.create_map(*(F.lit(x) for pair in rules.items() for x in pair))
-    ruled = (
+    ruled = settle(
         split_url(pages)
         .withColumn("rule", rule_for(rules))
         .withColumn("decided", F.try_element_at(verdicts, F.col("rule")))
+        .withColumn("row", F.monotonically_increasing_id())
+    )
+    share = min(1.0, most / max(1, ruled.filter("rule is not null").count()))
+    drawn = F.pmod(F.xxhash64("host", "path"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)
+    places = settle(
+        ruled.select("row", "host", "path", F.when(drawn, F.col("decided")).alias("learn"))
+        .mapInArrow(_names, "row long, at int, mark string, name string, learn string")
+    )
+    marked = settle(places.select("mark", "name").distinct())
+    words = split_names(settle(marked.select("name").distinct()), counted_words(pages))
+    tokens = (
+        places.filter("learn is not null")
+        .groupBy("learn", "mark", "name")
+        .agg(F.count("*").alias("n"))
+        .join(small(words), "name")
+        .select("learn", "mark", "n", F.explode("words").alias("word"))
+        .groupBy("learn", F.concat("mark", "word").alias("token"))
+        .agg(F.sum("n").alias("n"))
     )
-    words = context.broadcast(Words(word_counts(pages, vocabulary)))
-    model = context.broadcast(train(ruled, words, most))
+    learned = train(ruled, tokens)
+    model = context.broadcast(learned.odds)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, bayes = words.value, model.value
-        for whole in batches:
-            for batch in slices(whole, 5000):
-                pairs = zip(batch["host"].to_pylist(), batch["path"].to_pylist())
-                odds = [bayes.block_odds(own.tokens(host, path)) for host, path in pairs]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(odds, pa.float64())],
-                    names=["page_id", "host", "path", "rule", "decided", "block_odds"],
-                )
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        odds = model.value
+        for batch in batches:
+            pairs = zip(batch["mark"].to_pylist(), batch["words"].to_pylist())
+            sums = [sum(odds.get(mark + word, 0.0) for word in own) for mark, own in pairs]
+            yield pa.RecordBatch.from_arrays(
+                [batch["mark"], batch["name"], pa.array(sums, pa.float64())],
+                names=["mark", "name", "odds"],
+            )
 
-    kind = dict(ruled.dtypes)["page_id"]
-    scored = ruled.mapInArrow(
-        score,
-        f"page_id {kind}, host string, path string, rule string, decided string, "
-        "block_odds double",
+    weights = settle(
+        marked.join(small(words), "name")
+        .select("mark", "name", "words")
+        .mapInArrow(weigh, "mark string, name string, odds double")
+    )
+    # Added in the order of the URL, so that a run gives what the last one gave.
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("at", "odds"))), lambda x: x["odds"])
+    sums = (
+        places.select("row", "at", "mark", "name")
+        .join(small(weights), ["mark", "name"])
+        .groupBy("row")
+        .agg(listed.alias("odds"))
+        .select("row", F.aggregate("odds", F.lit(0.0), lambda total, x: total + x).alias("odds"))
+    )
+    scored = ruled.join(sums, "row", "left").withColumn(
+        "block_odds", F.lit(float(learned.prior)) + F.coalesce("odds", F.lit(0.0))
     )
     method = F.when(F.col("block_odds") > 0, "block").otherwise("allow")
     return scored.select(
