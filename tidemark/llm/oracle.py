@@ -59,4 +59,56 @@ def _host_quality() -> str:
     LEFT JOIN verdicts ON verdicts.source = c.source"""
 
 
-ORACLE: dict[str, str] = {"op4_host_quality": _host_quality()}
+def _centroids(rounds: int = 3, clusters: int = 16, components: int = 64) -> str:
+    # Integers below 2**53 are exact as doubles, so inner products give exact distances.
+    whole = "CAST(list_inner_product({0}, {1}) AS BIGINT)"
+    apart = " ".join(
+        [whole.format("k.x", "k.x"), "- 2 *", whole.format("k.x", "c.x"), "+", whole.format("c.x", "c.x")]
+    )
+    parts = [
+        f"""kept AS (
+        SELECT row_number() OVER () AS r, vec_id,
+               list_transform(embedding, lambda e: floor(64 * CAST(e AS DOUBLE))) AS x
+        FROM embeddings
+        WHERE len(embedding) = {components}
+          AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {components})""",
+        f"""c0 AS (
+        SELECT n - 1 AS cluster, x FROM (
+            SELECT x, row_number() OVER (
+                ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)) NULLS LAST, x) AS n FROM kept)
+        WHERE n <= {clusters})""",
+    ]
+    for turn in range(rounds + 1):
+        parts.append(
+            f"""a{turn} AS (
+        SELECT r, min(struct_pack(d := {apart}, c := c.cluster)) AS s
+        FROM kept k, c{turn} c GROUP BY r)"""
+        )
+        if turn < rounds:
+            parts.append(
+                f"""m{turn} AS (
+        SELECT cluster, list(mean ORDER BY place) AS x FROM (
+            SELECT cluster, place,
+                   CAST((total - ((total % n) + n) % n) // n AS DOUBLE) AS mean
+            FROM (SELECT s.c AS cluster, place, sum(CAST(x[place] AS BIGINT))::BIGINT AS total,
+                         count(*) AS n
+                  FROM a{turn} JOIN kept USING (r), range(1, {components + 1}) AS p(place)
+                  GROUP BY 1, 2)) GROUP BY cluster),
+    c{turn + 1} AS (
+        SELECT cluster, coalesce(m.x, c.x) AS x FROM c{turn} c LEFT JOIN m{turn} m USING (cluster))"""
+            )
+    steps = ",\n    ".join(parts)
+    return f"""
+    WITH {steps}
+    SELECT vec_id, CAST(s.c AS INTEGER) AS cluster, s.d AS distance,
+           CAST(sum(s.d) OVER (PARTITION BY s.c) AS BIGINT) AS cluster_inertia,
+           CAST(sum(s.d) OVER () AS BIGINT) AS inertia,
+           sha256(array_to_string(list_transform(f.x, lambda e: CAST(e AS BIGINT)), ','))
+               AS centroid_sha256
+    FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} f ON f.cluster = s.c"""
+
+
+ORACLE: dict[str, str] = {
+    "op4_host_quality": _host_quality(),
+    "op11_shallot_centroids": _centroids(),
+}

@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
+    centroids,
+    covering_simhash,
     fingerprints,
     language_id,
     line_dedup,
@@ -115,3 +118,18 @@ def op5_suffix_dedup(spark, folder):
 @query
 def op7_edit_fingerprints(spark, folder):
     return fingerprints.compare_with_next(table(spark, folder, "documents"))
+
+
+@query
+def op11_shallot_centroids(spark, folder):
+    return centroids.clusters_with_inertia(table(spark, folder, "embeddings"))
+
+
+@query
+def op12_covering_simhash(spark, folder):
+    return covering_simhash.classes(table(spark, folder, "documents"))
+
+
+@query
+def op13_galloping_alignment(spark, folder):
+    return alignment.digests(table(spark, folder, "documents"))
