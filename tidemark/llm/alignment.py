@@ -27,6 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -282,29 +283,11 @@ class _Batch:
         """The ids of the tokens that end together."""
         return self.flat["ids_a"][self.last_a], self.flat["ids_b"][self.last_b]
 
-    def per_text(self, of_links: np.ndarray) -> np.ndarray:
-        """Sums of a value of each link."""
-        ends = np.cumsum(self.counts["sizes_a"])
-        total = np.concatenate([[0], np.cumsum(of_links)])
-        return total[ends] - total[ends - self.counts["sizes_a"]]
 
-
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in slices(whole, 10 * ROWS):
-            ids_a, ids_b = _Batch(batch).linked()
-            codes, counts = np.unique(ids_a << 32 | ids_b, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(codes >> 32), pa.array(codes & 0xFFFFFFFF), pa.array(counts, pa.int64())],
-                names=["a", "b", "n"],
-            )
-
-
-def pair_counts(aligned: DataFrame) -> DataFrame:
-    """a, b and n, how many links of the corpus hold the two ids; at most ``pair_bound`` rows."""
-    lists = aligned.select("ids_a", "ids_b", "sizes_a", "sizes_b")
-    partial = lists.mapInArrow(_count_pairs, "a long, b long, n long")
-    return partial.groupBy("a", "b").agg(F.sum("n").alias("n"))
+def _number_type(a: str, b: str) -> str:
+    """The narrowest type that holds the number of an id pair."""
+    left, right = sides(a, b)
+    return "<u4" if len(left.bytes) * len(right.bytes) < 1 << 32 else "<u8"
 
 
 def group_texts(batch: _Batch, marks: np.ndarray, size_a: int) -> Iterator[str]:
@@ -332,37 +315,107 @@ def _marks(size_a: int, size_b: int) -> np.ndarray:
     return np.array([*a_forms, *b_forms], object)
 
 
+SUMMARY = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links binary"
 DIGESTS = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
     "groups_sha256 string"
 )
 
 
-def _digests(codes: np.ndarray, counts: np.ndarray, best: np.ndarray, size_a: int, size_b: int):
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
+
+def _summary(a: str, b: str, kind: str):
+    align_batches = _align(a, b)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size_a, size_b = (len(side.bytes) for side in sides(a, b))
         marks = _marks(size_a, size_b)
+        for rows in align_batches(batches):
+            batch = _Batch(rows)
+            ids_a, ids_b = batch.linked()
+            numbers = (ids_a * size_b + ids_b).astype(kind)
+            groups = batch.counts["sizes_a"]
+            ends = np.cumsum(groups)
+            hashed = [
+                hashlib.sha256(text.encode()).hexdigest() if text else ""
+                for text in group_texts(batch, marks, size_a)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows["doc_id"],
+                    pa.array(batch.counts["ids_a"]),
+                    pa.array(batch.counts["ids_b"]),
+                    pa.array(groups),
+                    pa.array(hashed, pa.string()),
+                    pa.array(
+                        [numbers[e - n : e].tobytes() for e, n in zip(ends, groups)], pa.binary()
+                    ),
+                ],
+                names=_names(SUMMARY),
+            )
+
+    return run
+
+
+def summaries(docs: DataFrame, a: str = BYTE_LEVEL, b: str = PIECES) -> DataFrame:
+    """Of each row the sizes and a checksum of its alignment, and the numbers of its links.
+
+    The alignment is summed up in the task that makes it; its lists never leave Python. The
+    number of a linked pair is the A id times the size of B's vocabulary plus the B id.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(_summary(a, b, _number_type(a, b)), SUMMARY)
+
+
+def _numbers(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The pair numbers of all rows, and how many each row has."""
+    counts = pc.binary_length(column).to_numpy() // np.dtype(kind).itemsize
+    data = b"".join(column.to_pylist())
+    return np.frombuffer(data, kind).astype(np.int64), counts.astype(np.int64)
+
+
+def _count_pairs(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 4 * ROWS):
+                pairs, n = np.unique(_numbers(batch["links"], kind)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pairs), pa.array(n, pa.int64())], names=["pair", "n"]
+                )
+
+    return run
+
+
+def pair_counts(summed: DataFrame, a: str = BYTE_LEVEL, b: str = PIECES) -> DataFrame:
+    """pair and n, how many links of the corpus it is; at most ``pair_bound`` rows."""
+    partial = summed.select("links").mapInArrow(
+        _count_pairs(_number_type(a, b)), "pair long, n long"
+    )
+    return partial.groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def _digests(pairs: np.ndarray, counts: np.ndarray, best: np.ndarray, kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for rows in slices(whole, ROWS):
-                batch = _Batch(rows)
-                ids_a, ids_b = batch.linked()
-                place = np.searchsorted(codes, ids_a << 32 | ids_b)
-                hashed = [
-                    hashlib.sha256(text.encode()).hexdigest() if text else ""
-                    for text in group_texts(batch, marks, size_a)
-                ]
-                groups = pa.array(batch.counts["sizes_a"])
+                numbers, links = _numbers(rows["links"], kind)
+                place, ends = np.searchsorted(pairs, numbers), np.cumsum(links)
+
+                def per_row(values, ends=ends, links=links):
+                    total = np.concatenate([[0], np.cumsum(values)])
+                    return pa.array(total[ends] - total[ends - links])
+
                 yield pa.RecordBatch.from_arrays(
                     [
-                        rows["doc_id"],
-                        pa.array(batch.counts["ids_a"]),
-                        pa.array(batch.counts["ids_b"]),
-                        groups,
-                        groups,  # tokens have bytes, so one pair ends at each common end
-                        pa.array(batch.per_text(best[place].astype(np.int64))),
-                        pa.array(batch.per_text(counts[place])),
-                        pa.array(hashed, pa.string()),
+                        *(rows[name] for name in ("doc_id", "n_a", "n_b", "n_groups")),
+                        pa.array(links),
+                        per_row(best[place].astype(np.int64)),
+                        per_row(counts[place]),
+                        rows["groups_sha256"],
                     ],
-                    names=[part.split()[0] for part in DIGESTS.split(", ")],
+                    names=_names(DIGESTS),
                 )
 
     return run
@@ -371,20 +424,17 @@ def _digests(codes: np.ndarray, counts: np.ndarray, best: np.ndarray, size_a: in
 def digests(docs: DataFrame, a: str = BYTE_LEVEL, b: str = PIECES) -> DataFrame:
     """Counts and a checksum of the alignment of each row, and how usual its links are.
 
-    The alignment is written once and read twice: for the corpus-wide counts and for the rows.
+    The summaries are written once and read twice: for the corpus-wide counts and for the rows.
     """
-    aligned = settle(align(docs, a, b))
-    table = pair_counts(aligned).toPandas()  # at most ``pair_bound`` rows, whatever the corpus
-    table = table.sort_values(["a", "b"])
-    ids_a, ids_b = table["a"].to_numpy(np.int64), table["b"].to_numpy(np.int64)
-    counts = table["n"].to_numpy(np.int64)
-    left, right = sides(a, b)
-    highest = np.zeros(len(right.bytes), np.int64)
-    np.maximum.at(highest, ids_b, counts)
-    run = _digests(
-        ids_a << 32 | ids_b, counts, counts == highest[ids_b], len(left.bytes), len(right.bytes)
-    )
-    return aligned.mapInArrow(run, DIGESTS)
+    summed = settle(summaries(docs, a, b))
+    # At most ``pair_bound`` rows, whatever the corpus.
+    table = pair_counts(summed, a, b).toPandas().sort_values("pair")
+    pairs, counts = (table[name].to_numpy(np.int64) for name in ("pair", "n"))
+    size_b = len(sides(a, b)[1].bytes)
+    highest = np.zeros(size_b, np.int64)
+    np.maximum.at(highest, pairs % size_b, counts)
+    run = _digests(pairs, counts, counts == highest[pairs % size_b], _number_type(a, b))
+    return summed.mapInArrow(run, DIGESTS)
 
 
 def _overlaps(a: str, b: str):
