@@ -7,15 +7,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import OutboxPolicy, RetryPolicy, StreamPolicy, WINDOW_SIZES
+from tidemark.functions import retry
 from tidemark.operators import fulfillment as steps
 from tidemark.sources import files
 from tidemark.sources import messages as M
 from tidemark.sources.topics import Send
-from tidemark.streaming import fulfillment, metrics, relay, snapshot
+from tidemark.streaming import corrections, delivery, fulfillment, relay, snapshot
 
 
 def order_metrics(
@@ -25,11 +26,15 @@ def order_metrics(
     amount: str = "item_lines",
     interval: str | None = StreamPolicy.checkpoint_interval,
     send: Send | None = None,
+    now: Column | None = None,
 ) -> list:
     """Placed messages to windowed metrics. The event has no total, so lines are summed.
 
-    A message whose time is not known (no or default metadata, or none that parses) is in no
-    window; ``set_aside`` holds it with the reason, so that none goes away unseen.
+    Rows behind the watermark correct their windows, which come out again as the next version
+    (``corrections.read_latest`` gives the newest), and with ``now`` a quiet topic closes windows
+    by that clock. A message whose time is not known (no or default
+    metadata, or none that parses) is in no window; ``set_aside`` holds it with the reason, so
+    that none goes away unseen.
     """
     decoded = M.decode_placed(messages, F.current_timestamp())
     reason = M.disposition()
@@ -44,7 +49,9 @@ def order_metrics(
     return [
         files.start(aside, keep, f"{folder}/set_aside_offsets", interval),
         *(
-            metrics.start_metrics(events, size, folder, interval, send=send, amount=amount)
+            corrections.start_corrected_metrics(
+                events, size, folder, interval, amount=amount, now=now, send=send
+            )
             for size in sizes
         ),
     ]
@@ -70,13 +77,20 @@ def order_snapshots(
 def outbox_relay(
     outbox_rows: DataFrame,
     folder: str,
-    publish: Callable[[DataFrame], DataFrame],
+    publish: Callable[[DataFrame], DataFrame] | None,
     interval: str | None = OutboxPolicy.polling_interval,
     send: Send | None = None,
+    connect: delivery.Connect | None = None,
 ):
-    """Outbox rows to the placed topic."""
+    """Outbox rows to the placed topic; with ``connect`` each row's state is what its send gave."""
     return relay.start_relay(
-        outbox_rows, publish, folder, F.current_timestamp(), interval=interval, send=send
+        outbox_rows,
+        publish,
+        folder,
+        F.current_timestamp(),
+        interval=interval,
+        send=send,
+        connect=connect,
     )
 
 
@@ -87,10 +101,24 @@ def fulfillment_service(
     interval: str | None = StreamPolicy.checkpoint_interval,
     send: Send | None = None,
     policy: RetryPolicy = RetryPolicy(),
+    connect: delivery.Connect | None = None,
 ):
-    """Placed messages to fulfilled messages and dead letters."""
+    """Placed messages to fulfilled messages and dead letters.
+
+    With ``connect`` the events are sent by the tasks, and only errors in passing are tried
+    again.
+    """
+    transient = retry.is_transient(F.col("error_type"), F.col("fatal")) if connect else None
     return fulfillment.start_fulfillment(
-        messages, folder, F.current_timestamp(), hook, interval, send, policy
+        messages,
+        folder,
+        F.current_timestamp(),
+        hook,
+        interval,
+        send,
+        policy,
+        transient=transient,
+        connect=connect,
     )
 
 

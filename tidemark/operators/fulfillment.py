@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config as C
 from tidemark.functions import ids, money, times
+from tidemark.operators import asof
 
 Hook = Callable[[DataFrame], DataFrame]
 
@@ -30,28 +31,39 @@ def process(placed: DataFrame, hook: Hook = accept_all) -> DataFrame:
     )
 
 
-def fulfilled_events(processed: DataFrame, fulfilled_at: Column) -> DataFrame:
-    """The event for each order: same code and customer, fresh id, the source id as cause.
-
-    Needs ``order_short_code, customer_id, event_id``.
-    """
-    return processed.select(
-        "order_short_code",
-        "customer_id",
+def event_columns(fulfilled_at: Column) -> list[Column]:
+    """The columns of a fulfilled event, from those of its placed event."""
+    return [
+        F.col("order_short_code"),
+        F.col("customer_id"),
         F.unix_millis(fulfilled_at).alias("fulfillment_timestamp"),
         ids.stable_uuid("fulfilled", F.col("event_id")).alias("event_id"),
         F.lit(C.EVENT_VERSION).alias("event_version"),
         F.lit(C.ENTITY_DEFAULT).alias("entity_type"),
         F.col("order_short_code").alias("entity_id"),
         F.col("event_id").alias("causation_id"),
-    )
+    ]
 
 
-def first_fulfilled(placed: DataFrame, fulfilled: DataFrame, key: str, *keep: str) -> DataFrame:
+def fulfilled_events(processed: DataFrame, fulfilled_at: Column) -> DataFrame:
+    """The event for each order: same code and customer, fresh id, the source id as cause.
+
+    Needs ``order_short_code, customer_id, event_id``.
+    """
+    return processed.select(*event_columns(fulfilled_at))
+
+
+def first_fulfilled(
+    placed: DataFrame, fulfilled: DataFrame, key: str, *keep: str, unique: bool = False
+) -> DataFrame:
     """Earliest fulfillment not before the order: ``key, placed_at, fulfilled_at``, and ``keep``.
 
-    An inner join, so that a hot key can be split on either side before the aggregate.
+    The key need not be unique. With ``unique`` (at most one order or few fulfillments per key)
+    it is a plain join, which is cheaper there but makes a row for each order and each
+    fulfillment of a key.
     """
+    if not unique:
+        return asof.next_event(placed, fulfilled, key, "placed_at", "fulfilled_at", keep)
     return (
         placed.select(key, "placed_at", *keep)
         .join(fulfilled.select(key, "fulfilled_at"), key)
@@ -61,12 +73,15 @@ def first_fulfilled(placed: DataFrame, fulfilled: DataFrame, key: str, *keep: st
     )
 
 
-def placed_fulfilled(placed: DataFrame, fulfilled: DataFrame, key: str) -> DataFrame:
+def placed_fulfilled(
+    placed: DataFrame, fulfilled: DataFrame, key: str, unique: bool = False
+) -> DataFrame:
     """Every placed order with its first fulfillment, null while it is pending.
 
     The key need not be unique: an order is matched by key and placing time.
     """
-    return placed.join(first_fulfilled(placed, fulfilled, key), [key, "placed_at"], "left")
+    first = first_fulfilled(placed, fulfilled, key, unique=unique)
+    return placed.join(first, [key, "placed_at"], "left")
 
 
 def latency_ms() -> Column:
@@ -74,7 +89,7 @@ def latency_ms() -> Column:
 
 
 def fulfillment_metrics(
-    placed: DataFrame, fulfilled: DataFrame, key: str, size: str = "24h"
+    placed: DataFrame, fulfilled: DataFrame, key: str, size: str = "24h", unique: bool = False
 ) -> DataFrame:
     """Pending and fulfilled orders, rate in percent and mean latency per placing window.
 
@@ -84,7 +99,7 @@ def fulfillment_metrics(
     window = times.window_start(F.col("placed_at"), size).alias("window_start")
     all_orders = placed.groupBy(window).agg(F.count("*").alias("placed"))
     alike = placed.groupBy(key, "placed_at").agg(F.count("*").alias("_n"))
-    matched = first_fulfilled(alike, fulfilled, key, "_n")
+    matched = first_fulfilled(alike, fulfilled, key, "_n", unique=unique)
     done = matched.groupBy(window).agg(
         F.sum("_n").alias("_done"), F.sum(F.col("_n") * latency_ms()).alias("_latency")
     )

@@ -30,7 +30,7 @@ def _count_slices(df: DataFrame) -> int:
     return max(partitions, -(-df.count() // ROWS_PER_SLICE))
 
 
-def _slices(
+def range_slices(
     df: DataFrame, order_by: Sequence[str], slices: int | None, work: str | None = None
 ) -> DataFrame:
     count = slices or _count_slices(df)
@@ -54,7 +54,7 @@ def number_rows(
     ``work`` is a folder for the slices that the caller uses again and again; each run
     replaces what the one before left there.
     """
-    cut = _slices(df, order_by, slices, work)
+    cut = range_slices(df, order_by, slices, work)
     sizes = cut.groupBy("_slice").agg(F.count("*").alias("_rows"))
     starts = sizes.select(
         "_slice",
@@ -138,7 +138,7 @@ def running_totals(
     df: DataFrame, order_by: Sequence[str], values: Sequence[str], slices: int | None = None
 ) -> DataFrame:
     """Adds ``n`` and ``running_<value>`` from the first row to this one, for every row."""
-    cut = _slices(df, order_by, slices)
+    cut = range_slices(df, order_by, slices)
     sums = {v: F.sum(F.coalesce(F.col(v), F.lit(0))) for v in values}
     sizes = cut.groupBy("_slice").agg(
         F.count("*").alias("_rows"), *[total.alias(f"_sum_{v}") for v, total in sums.items()]
@@ -180,7 +180,7 @@ def tag_late(
     Exactly ``tolerance`` behind is on time. ``seen`` is the newest event time of earlier
     batches, if any. ``arrival_order`` must be unique.
     """
-    cut = _slices(events, arrival_order, slices, work)
+    cut = range_slices(events, arrival_order, slices, work)
     tops = cut.groupBy("_slice").agg(F.max(event_time).alias("_top"))
     before = tops.select(
         "_slice",

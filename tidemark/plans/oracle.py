@@ -639,3 +639,56 @@ ORACLE.update(
 ORACLE["relay_quiet_stream"] = ORACLE["outbox_relay_stream"]
 for _name in ("windowed_metrics", "order_count_snapshot", "late_split"):
     ORACLE[f"{_name}_batches_stream"] = ORACLE[f"{_name}_stream"]
+
+ORACLE["relay_restart_stream"] = ORACLE["outbox_relay_stream"]
+# The client refuses these for good, so they use up their tries.
+_REFUSED = "substr(md5(id), 1, 1) IN ('0', '1', '2')"
+ORACLE["relay_delivery_stream"] = f"""{_WITH_OUTBOX}, tries AS (
+        SELECT id, {_REFUSED} AS refused,
+               CASE WHEN status = 'FAILED' THEN retry_count + 1 ELSE 0 END AS c
+        FROM outbox WHERE {_ELIGIBLE})
+    SELECT id, CAST(CASE WHEN refused THEN 3 ELSE c END AS INTEGER) AS retry_count,
+           CAST(CASE WHEN refused THEN 4 - c ELSE 1 END AS BIGINT) AS attempts,
+           CASE WHEN refused THEN 'FAILED' ELSE 'PUBLISHED' END AS status,
+           CASE WHEN refused THEN 'refused ' || id END AS last_error
+    FROM tries"""
+ORACLE["delivery_key_order"] = f"""{_WITH_REQ}
+    SELECT customer AS key, count(*) AS messages, CAST(0 AS BIGINT) AS swapped
+    FROM req WHERE ok GROUP BY 1"""
+_DIGIT = "CAST('0x' || substr(md5(code), 1, 4) AS INTEGER) % 10"
+ORACLE["fulfillment_delivery_stream"] = f"""{_WITH_REQ}, seen AS (
+        SELECT code AS key, {_DIGIT} AS digit,
+               CASE WHEN id % 17 = 0 THEN 'skipped'
+                    WHEN id % 11 <> 0 AND id % 13 = 0 THEN 'quarantine' ELSE 'sent' END AS kind
+        FROM req WHERE ok)
+    SELECT key,
+           CASE WHEN kind <> 'sent' THEN kind
+                WHEN digit < 2 THEN 'dead_letter' ELSE 'fulfilled' END AS outcome,
+           CAST(CASE WHEN kind <> 'sent' THEN 0 WHEN digit = 0 THEN 3 ELSE 1 END AS BIGINT)
+             AS tries,
+           CASE WHEN kind = 'sent' AND digit = 0 THEN 'Local_Transport'
+                WHEN kind = 'sent' AND digit = 1 THEN 'MsgSizeTooLarge' END AS code
+    FROM seen"""
+ORACLE["status_keyed_stream"] = f"""{_WITH_STORE}
+    SELECT code AS order_short_code, 'changed' AS outcome, CAST(1 AS BIGINT) AS n
+    FROM store WHERE status = 'PENDING' AND code IN (SELECT code FROM done)
+    UNION ALL
+    SELECT code, 'unknown', count(*) FROM done
+    WHERE code NOT IN (SELECT code FROM store) GROUP BY 1"""
+
+
+def _until(size: str) -> str:
+    """All windows from the first one to those that ended a minute before the clock."""
+    windows = _windows(size)
+    width = f"INTERVAL '{_WIDTH[size]}'"
+    last = f"TIMESTAMP '2024-02-01' - INTERVAL '60 seconds' - {width}"
+    return f"""
+        SELECT s.ws, '{size}' AS size, coalesce(m.n, 0) AS n, coalesce(m.cents, 0) AS cents
+        FROM (SELECT unnest(generate_series(min(ws), {last}, {width})) AS ws
+              FROM ({windows})) s
+        LEFT JOIN ({windows}) m ON m.ws = s.ws"""
+
+
+ORACLE["corrected_metrics_stream"] = _records(
+    " UNION ALL ".join(_until(size) for size in _WIDTH)
+)

@@ -740,7 +740,7 @@ def dead_letters_replayed(spark, folder):
 @query
 def placed_fulfilled_join(spark, folder):
     return fulfillment.placed_fulfilled(
-        tables.placed_orders(spark, folder), tables.fulfilled(spark, folder), KEY
+        tables.placed_orders(spark, folder), tables.fulfilled(spark, folder), KEY, unique=True
     ).select(
         KEY,
         times.millis(F.col("placed_at")).alias("placed_at_ms"),
@@ -780,7 +780,7 @@ def fulfillment_metrics_repeated_codes(spark, folder):
 @query
 def fulfillment_metrics_24h(spark, folder):
     return fulfillment.fulfillment_metrics(
-        tables.placed_orders(spark, folder), tables.fulfilled(spark, folder), KEY
+        tables.placed_orders(spark, folder), tables.fulfilled(spark, folder), KEY, unique=True
     ).withColumn("window_start", times.millis(F.col("window_start"))).withColumnRenamed(
         "window_start", "window_start_ms"
     )

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import hashlib
+
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark import config as C
 from tidemark.config import RetryPolicy
-from tidemark.functions import times
+from tidemark.functions import retry, times
 from tidemark.operators import metrics, ordered
 from tidemark.plans.queries import EVENT_ORDER, KEY, as_of, flag, flaky_publish, query, refuse_empty
-from tidemark.session import new_folder
+from tidemark.session import new_folder, settle
 from tidemark.sources import files, tables
-from tidemark.streaming import fulfillment, ingest, join, late, relay, snapshot
+from tidemark.streaming import (
+    corrections,
+    delivery,
+    fulfillment,
+    ingest,
+    join,
+    keyed_status,
+    late,
+    relay,
+    snapshot,
+)
 from tidemark.streaming import metrics as live
 
 SHARDS = 64  # counters of the sharded snapshot; rows are dealt out by event id
@@ -20,16 +34,22 @@ SHARDS = 64  # counters of the sharded snapshot; rows are dealt out by event id
 BATCHES = 3
 
 
-def _in_batches(spark: SparkSession, rows: DataFrame, order: Column, name: str) -> DataFrame:
-    """The rows as a stream of three micro-batches, cut by ``order``; one file each."""
-    out = new_folder(spark, name)
+def _thirds(rows: DataFrame, order: Column) -> list[DataFrame]:
+    """The rows cut by ``order`` in three; rows without it are in the first part."""
     cuts = [i / BATCHES for i in range(1, BATCHES)]
     place = order.cast("double")
     low, high = rows.agg(F.percentile_approx(place, F.lit(cuts))).first()[0]
-    parts = [place <= low, (place > low) & (place <= high), place > high]
-    for part in parts:
-        rows.where(part).coalesce(1).write.mode("append").parquet(out)
-    return files.stream_files(spark, out, rows.schema, files_per_batch=1)
+    first = F.coalesce(place <= low, F.lit(True))
+    return [rows.where(part) for part in (first, (place > low) & (place <= high), place > high)]
+
+
+def _in_batches(spark: SparkSession, rows: DataFrame, order: Column, name: str) -> DataFrame:
+    """The rows as a stream of micro-batches in ``order``: each third as as many files."""
+    out = new_folder(spark, name)
+    each = spark.sparkContext.defaultParallelism
+    for part in _thirds(rows, order):
+        part.repartition(each).write.mode("append").parquet(out)
+    return files.stream_files(spark, out, rows.schema, files_per_batch=each)
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -308,3 +328,160 @@ def fulfillment_metrics_stream(spark, folder):
     return rates.withColumn("window_start", times.millis(F.col("window_start"))).withColumnRenamed(
         "window_start", "window_start_ms"
     )
+
+
+class RefusingClient:
+    """Refuses three in sixteen events, each with its own text, whatever the try."""
+
+    def send(self, message):
+        headers = {pair["key"]: pair["value"] for pair in message["headers"]}
+        event_id = headers[C.HEADER_EVENT_ID].decode()
+        if hashlib.md5(event_id.encode()).hexdigest()[0] in "012":
+            raise delivery.Refused(f"refused {event_id}", "MsgSizeTooLarge")
+
+    def close(self):
+        pass
+
+
+@query
+def relay_delivery_stream(spark, folder):
+    """Sent by the tasks: PUBLISHED is what the client took, FAILED keeps the client's text."""
+    out = new_folder(spark, "relay-delivery")
+    rows = tables.used_outbox(_event_stream(spark, folder))
+    limit = relay.outbox.POLICY.retry_limit
+    files.finish(
+        relay.start_relay(
+            rows, None, out, as_of(), limit, rounds=limit + 1, connect=RefusingClient
+        )
+    )
+    return relay.final_states(relay.read_ledger(spark, out))
+
+
+@query
+def relay_restart_stream(spark, folder):
+    """The topic breaks off after the first ledger; the second start ends what was begun."""
+    out = new_folder(spark, "relay-restart")
+    limit = relay.outbox.POLICY.retry_limit
+
+    def away(frame):
+        raise ConnectionError("the topic is away")
+
+    for send in (away, None):
+        rows = tables.used_outbox(_event_stream(spark, folder))
+        started = relay.start_relay(
+            rows, flaky_publish, out, as_of(), limit, rounds=limit + 1, send=send
+        )
+        try:
+            files.finish(started)
+        except StreamingQueryException as error:
+            if "the topic is away" not in str(error):
+                raise
+    return relay.final_states(relay.read_ledger(spark, out))
+
+
+class TakingClient:
+    """Takes everything."""
+
+    def send(self, message):
+        pass
+
+    def close(self):
+        pass
+
+
+@query
+def delivery_key_order(spark, folder):
+    """Messages per key, and how many went out before an earlier one of their key."""
+    orders = tables.new_orders(tables.events(spark, folder))
+    rows = orders.select(
+        F.col("customer_id").alias("key"),
+        "created_at",
+        "request_id",
+        F.struct(F.col("customer_id").alias("key"), F.col("request_id").alias("value")).alias(
+            delivery.MESSAGE
+        ),
+    )
+    # Read from its table: each action on a delivery would send again.
+    sent = settle(delivery.deliver(rows, TakingClient, "key", ["created_at", "request_id"]))
+    before = Window.partitionBy("key").orderBy("created_at", "request_id")
+    swapped = (F.lag("task").over(before) != F.col("task")) | (
+        F.lag("place").over(before) > F.col("place")
+    )
+    return (
+        sent.withColumn("swapped", F.coalesce(swapped, F.lit(False)))
+        .groupBy("key")
+        .agg(F.count("*").alias("messages"), F.count_if("swapped").alias("swapped"))
+    )
+
+
+class UnsteadyClient:
+    """Takes four in five messages; of the rest half fail in passing, half for good."""
+
+    def send(self, message):
+        digit = int(hashlib.md5(message["key"].encode()).hexdigest()[:4], 16) % 10
+        if digit < 2:
+            code = "Local_Transport" if digit == 0 else "MsgSizeTooLarge"
+            raise delivery.Refused(f"refused {message['key']}", code)
+
+    def close(self):
+        pass
+
+
+@query
+def fulfillment_delivery_stream(spark, folder):
+    """Only errors in passing are tried again: three tries for these, one for the others."""
+    out = new_folder(spark, "fulfillment-delivery")
+    policy = RetryPolicy()
+    for turn in range(policy.max_attempts):
+        messages = tables.placed_messages(tables.fresh_outbox(_event_stream(spark, folder)))
+        files.finish(
+            fulfillment.start_fulfillment(
+                messages,
+                out,
+                _later(turn),
+                policy=policy,
+                transient=retry.is_transient(F.col("error_type"), F.col("fatal")),
+                connect=UnsteadyClient,
+            )
+        )
+    tries = spark.read.schema("order_short_code string, error_code string, attempt int").parquet(
+        f"{out}/sent"
+    )
+    done = fulfillment.read_outcomes(spark, out)
+    sent = tries.groupBy(F.col("order_short_code").alias("key")).agg(
+        F.count("*").alias("tries"), F.max("error_code").alias("code")
+    )
+    return done.join(sent, "key", "left").select(
+        "key", "outcome", F.coalesce("tries", F.lit(0)).cast("bigint").alias("tries"), "code"
+    )
+
+
+@query
+def status_keyed_stream(spark, folder):
+    """Three starts, one third of the lines each: state carries what earlier batches did."""
+    out, landing = new_folder(spark, "status-keyed"), new_folder(spark, "lines")
+    lines = tables.table(spark, folder, "lineitem")
+    for part in _thirds(lines, _micros("l_shipdate")):
+        part.write.mode("append").parquet(landing)
+        events = tables.fulfilled_of(files.stream_files(spark, landing, lines.schema))
+        outcomes = keyed_status.status_outcomes(
+            events, tables.stored_orders(spark, folder), KEY, EVENT_ORDER
+        )
+        files.finish(keyed_status.start_keyed_status(outcomes, out))
+    done = keyed_status.read_outcomes(spark, out, outcomes.schema)
+    return done.groupBy(KEY, "outcome").agg(F.count("*").alias("n"))
+
+
+@query
+def corrected_metrics_stream(spark, folder):
+    """Every seventh event comes ten minutes late and corrects its windows; then the input
+    stops, and a heartbeat closes what is open, empty windows included."""
+    out = new_folder(spark, "corrected")
+    delay = F.when(F.col("event_id") % 7 == 0, 600_000_000).otherwise(0)
+    orders_in = tables.purchases(_event_batches(spark, folder, _micros("ts") + delay))
+    for size in ("1m", "1h", "24h"):
+        for clock in (None, as_of()):  # the second start finds no new rows
+            files.finish(
+                corrections.start_corrected_metrics(orders_in, size, out, now=clock)
+            )
+    return metrics.metric_records(corrections.read_latest(spark, out), as_of())

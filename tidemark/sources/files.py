@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -63,6 +64,20 @@ def last_committed(spark: SparkSession, folder: str) -> int:
     return -1 if newest is None else newest
 
 
+def mark(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Note that a step of a batch is done and its table written."""
+    replace_batch(spark.range(1), folder, batch_id)
+
+
+def is_marked(spark: SparkSession, folder: str, batch_id: int) -> bool:
+    try:
+        return read_batch(spark, folder, batch_id, StructType.fromDDL("id bigint")).count() > 0
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def carried_row(spark: SparkSession, folder: str, batch_id: int) -> Row | None:
     """The one-row table the previous batch left behind; None for the first batch."""
     if batch_id == 0:

@@ -93,22 +93,41 @@ def placed_messages(events: DataFrame) -> DataFrame:
 
 
 def fulfilled_messages(events: DataFrame, occurred_at: Column) -> DataFrame:
+    message = fulfilled_message(F.struct(*events.columns), occurred_at)
+    return events.select(message.alias("_message")).select("_message.*")
+
+
+def fulfilled_message(event: Column, occurred_at: Column) -> Column:
+    """A fulfilled event (a struct) as the struct of its message."""
     value = F.struct(
-        F.col("order_short_code").alias("orderShortCode"),
-        F.col("customer_id").alias("customerId"),
-        F.col("fulfillment_timestamp").alias("fulfillmentTimestamp"),
+        event["order_short_code"].alias("orderShortCode"),
+        event["customer_id"].alias("customerId"),
+        event["fulfillment_timestamp"].alias("fulfillmentTimestamp"),
     )
-    return topics.messages(
-        events,
-        C.TOPIC_ORDER_FULFILLED,
-        value=F.to_json(value),
-        key=F.col("order_short_code"),
-        headers=headers.metadata_headers(
-            F.col("event_id"),
-            F.col("event_version"),
-            occurred_at,
-            F.col("entity_type"),
-            F.col("entity_id"),
+    own = headers.metadata_headers(
+        event["event_id"],
+        event["event_version"],
+        occurred_at,
+        event["entity_type"],
+        event["entity_id"],
+    )
+    return F.struct(
+        event["order_short_code"].cast("string").alias("key"),
+        F.to_json(value).alias("value"),
+        own.alias("headers"),
+        F.lit(C.TOPIC_ORDER_FULFILLED).alias("topic"),
+    )
+
+
+def placed_message() -> Column:
+    """A decoded outbox row as the struct of its message; null without an event."""
+    return F.when(
+        F.col("placed").isNotNull(),
+        F.struct(
+            F.col("entity_id").cast("string").alias("key"),
+            F.to_json("placed").alias("value"),
+            outbox.event_headers().alias("headers"),
+            F.lit(C.TOPIC_ORDER_PLACED).alias("topic"),
         ),
     )
 

@@ -14,7 +14,7 @@ from tidemark.functions import headers
 from tidemark.operators import deadletter, fulfillment, orders
 from tidemark.sources import files, messages
 from tidemark.sources.topics import Send
-from tidemark.streaming import retries
+from tidemark.streaming import delivery, retries
 
 
 def route(decoded: DataFrame, hook: fulfillment.Hook) -> DataFrame:
@@ -38,27 +38,44 @@ def start_fulfillment(
     interval: str | None = None,
     send: Send | None = None,
     policy: RetryPolicy = RetryPolicy(max_attempts=1),
+    transient: Column | None = None,
+    connect: delivery.Connect | None = None,
 ):
     """Each batch: decode, process, then fulfilled events and dead letters to their tables.
 
     A message whose processing fails waits for its next try; after ``policy.max_attempts``
-    tries it becomes a dead letter. The hook sees the number of the try as ``attempt``.
-    With ``send`` both are sent to their topics as well, after the tables are written.
+    tries it becomes a dead letter. The hook sees the number of the try as ``attempt``. With
+    ``transient``, a condition on ``error_type`` (and ``fatal``), other errors are not tried
+    again. With ``send`` both are sent to their topics as well, after the tables are written.
+
+    With ``connect`` the tasks send the fulfilled events themselves, and an event the client
+    refuses counts as failed, its code as ``error_type``. What was sent is written first and
+    is not sent again when the batch is run again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         messages_in = retries.without_heartbeat(batch)
         kept = retries.waiting_schema(messages_in.schema)
         tried, waiting = retries.with_due(messages_in, folder, batch_id, as_of)
         routed = route(messages.decode_placed(tried, as_of), hook).persist()
         try:
             fulfilled = routed.where(F.col("outcome") == "fulfilled")
-            files.replace_batch(
-                fulfillment.fulfilled_events(fulfilled, as_of), f"{folder}/fulfilled", batch_id
-            )
-            failed, gone = retries.again(
-                routed.where(F.col("outcome") == "dead_letter"), as_of, policy
-            )
+            errors = routed.where(F.col("outcome") == "dead_letter")
+            if "fatal" not in errors.columns:
+                errors = errors.withColumn("fatal", F.lit(False))
+            if connect:
+                sent = _sent(fulfilled, folder, batch_id, as_of, connect)
+                events = sent.where(F.col("error").isNull()).select("_event.*")
+                refused = sent.where(F.col("error").isNotNull()).withColumns(
+                    {"error_type": F.col("error_code"), "error_message": F.col("error")}
+                )
+                names = [*kept.fieldNames(), "metadata", "error_type", "error_message", "fatal"]
+                errors = errors.select(*names).unionByName(refused.select(*names))
+            else:
+                events = fulfillment.fulfilled_events(fulfilled, as_of)
+            files.replace_batch(events, f"{folder}/fulfilled", batch_id)
+            failed, gone = retries.again(errors, as_of, policy, transient)
             retries.keep_waiting(
                 waiting.unionByName(failed.select(kept.fieldNames())), folder, batch_id, kept
             )
@@ -80,9 +97,9 @@ def start_fulfillment(
                 batch_id,
             )
             if send:
-                spark = batch.sparkSession
-                written = spark.read.parquet(files.batch_path(f"{folder}/fulfilled", batch_id))
-                send(messages.fulfilled_messages(written, as_of))
+                if not connect:
+                    written = spark.read.parquet(files.batch_path(f"{folder}/fulfilled", batch_id))
+                    send(messages.fulfilled_messages(written, as_of))
                 send(
                     messages.letter_messages(
                         spark.read.parquet(files.batch_path(f"{folder}/dead_letters", batch_id))
@@ -95,6 +112,22 @@ def start_fulfillment(
     return files.start(stream, write, f"{folder}/offsets", interval)
 
 
+def _sent(
+    fulfilled: DataFrame, folder: str, batch_id: int, as_of: Column, connect: delivery.Connect
+) -> DataFrame:
+    """The fulfilled rows with their event and what became of its message, as a table."""
+    spark, table, marks = fulfilled.sparkSession, f"{folder}/sent", f"{folder}/sent_marks"
+    events = fulfilled.withColumn("_event", F.struct(*fulfillment.event_columns(as_of)))
+    rows = events.withColumn(delivery.MESSAGE, messages.fulfilled_message(F.col("_event"), as_of))
+    told = delivery.deliver(rows, connect, "order_short_code", ["partition", "offset"]).drop(
+        delivery.MESSAGE
+    )
+    if not files.is_marked(spark, marks, batch_id):
+        files.replace_batch(told, table, batch_id)
+        files.mark(spark, marks, batch_id)
+    return files.read_batch(spark, table, batch_id, told.schema)
+
+
 def read_outcomes(spark: SparkSession, folder: str) -> DataFrame:
     """``key, outcome`` of every message, from the three tables."""
 

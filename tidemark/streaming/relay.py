@@ -13,7 +13,7 @@ from tidemark.operators import deadletter, outbox
 from tidemark.schemas import ORDER_PLACED, OUTBOX_EVENTS
 from tidemark.sources import files, messages
 from tidemark.sources.topics import Send
-from tidemark.streaming import retries
+from tidemark.streaming import delivery, retries
 
 LEDGER = StructType(
     [
@@ -27,13 +27,14 @@ _OUTBOX_COLUMNS = OUTBOX_EVENTS.fieldNames()
 
 def start_relay(
     outbox_rows: DataFrame,
-    publish: Callable[[DataFrame], DataFrame],
+    publish: Callable[[DataFrame], DataFrame] | None,
     folder: str,
     failed_at: Column,
     limit: int = outbox.POLICY.retry_limit,
     rounds: int = 1,
     interval: str | None = None,
     send: Send | None = None,
+    connect: delivery.Connect | None = None,
 ):
     """One attempt per event and round; failed events go on in the next round or batch.
 
@@ -43,8 +44,15 @@ def start_relay(
     over what the last of them left. A heartbeat makes a batch per trigger (or per start,
     without an interval), so failed events are tried again while the outbox is quiet.
     With ``send`` messages and dead letters go to their topics too, after the ledger.
+
+    With ``connect`` (in place of ``publish``) the tasks send the messages themselves and the
+    ledger holds what the client said of each: PUBLISHED only where it took the message, else
+    FAILED with its text. A round whose ledger is written is not sent again when the batch is
+    run again; ``send`` then takes the dead letters only.
     """
-    ledger, noted = f"{folder}/ledger", f"{folder}/rounds"
+    ledger, noted, sent = f"{folder}/ledger", f"{folder}/rounds", f"{folder}/sent"
+    if connect:
+        publish = delivery.publisher(connect)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -56,8 +64,11 @@ def start_relay(
             )
         due = outbox.eligible(due, limit=limit)
         for turn in range(rounds):
-            tried = outbox.attempt(due, publish, limit).select(*LEDGER.fieldNames())
-            files.replace_batch(tried, f"{ledger}/round={turn}", batch_id)
+            if not (connect and files.is_marked(spark, f"{sent}/round={turn}", batch_id)):
+                tried = outbox.attempt(due, publish, limit).select(*LEDGER.fieldNames())
+                files.replace_batch(tried, f"{ledger}/round={turn}", batch_id)
+                if connect:
+                    files.mark(spark, f"{sent}/round={turn}", batch_id)
             due = _to_retry(spark, ledger, batch_id, turn, limit)
         paths = [files.batch_path(f"{ledger}/round={turn}", batch_id) for turn in range(rounds)]
         done = spark.read.schema(LEDGER).parquet(*paths)
@@ -70,7 +81,8 @@ def start_relay(
         )
         if send:
             # The written tables: nothing is computed or sampled a second time.
-            send(files.read_batch(spark, f"{folder}/published", batch_id, published.schema))
+            if not connect:
+                send(files.read_batch(spark, f"{folder}/published", batch_id, published.schema))
             send(
                 messages.letter_messages(
                     files.read_batch(spark, f"{folder}/dead_letters", batch_id, letters.schema)

@@ -53,9 +53,16 @@ def with_due(
     return new.unionByName(waiting.where(due)), waiting.where(~due)
 
 
-def again(failed: DataFrame, now: Column, policy: RetryPolicy) -> tuple[DataFrame, DataFrame]:
-    """Failed rows that get another try, with its time, and those that had their last one."""
+def again(
+    failed: DataFrame, now: Column, policy: RetryPolicy, transient: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Failed rows that get another try, with its time, and those that had their last one.
+
+    With ``transient`` only rows for which it holds are tried again.
+    """
     left = F.col(ATTEMPT) < policy.max_attempts
+    if transient is not None:
+        left = left & F.coalesce(transient, F.lit(False))
     waiting = failed.where(left).withColumns(
         {DUE: retry.next_attempt_at(now, F.col(ATTEMPT), policy), ATTEMPT: F.col(ATTEMPT) + 1}
     )
