@@ -14,7 +14,7 @@ from tidemark.functions import retry
 from tidemark.operators import asof, fulfillment, metrics
 from tidemark.schemas import OUTBOX_EVENTS
 from tidemark.sources import files
-from tidemark.streaming import corrections, delivery, keyed_status, relay, retries
+from tidemark.streaming import corrections, delivery, keyed_status, relay, retries, snapshot
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -297,3 +297,25 @@ def test_a_batch_that_breaks_off_counts_no_row_twice(spark, work, land, monkeypa
         for r in corrections.read_latest(spark, f"{work}/out").collect()
     }
     assert latest[T0] == (2, 2) and latest[at(300)] == (1, 1)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_shard_totals_do_not_depend_on_arrival(spark, land, work, seed):
+    drawn = random.Random(seed)
+    rows = [(at(i // 2), i, i % 3, drawn.randrange(1, 5)) for i in range(240)]
+    # Out of order by less than the watermark allows.
+    arrived = sorted(rows, key=lambda r: r[0] + timedelta(seconds=drawn.randrange(30)))
+    schema = "event_time timestamp, event_id long, shard long, item_lines long"
+    frames = [spark.createDataFrame(arrived[i : i + 60], schema) for i in range(0, 240, 60)]
+    stream = files.stream_files(spark, land(frames), frames[0].schema, files_per_batch=1)
+    files.finish(snapshot.start_ordered_shards(stream, "shard", f"{work}/out", every=5))
+    want, reached = set(), max(r[0] for r in rows) - timedelta(seconds=60)
+    for shard in range(3):
+        total = 0
+        mine = sorted(r for r in rows if r[2] == shard and r[0] <= reached)
+        for n, row in enumerate(mine, 1):
+            total += row[3]
+            if n % 5 == 0:
+                want.add((shard, n, total))
+    found = snapshot.read_shards(spark, f"{work}/out").collect()
+    assert len(found) == len(want) and {tuple(r) for r in found} == want

@@ -574,10 +574,16 @@ ORACLE.update(
                        ('counts_positive', _BAD_COUNT))} AS violations
             FROM req""",
         "sharded_snapshot_stream": """
-            SELECT shard, CAST(n AS BIGINT) AS order_count FROM (
-                SELECT event_id % 64 AS shard,
-                       row_number() OVER (PARTITION BY event_id % 64 ORDER BY ts, event_id) AS n
-                FROM events WHERE event_type = 'purchase')
+            SELECT shard, CAST(n AS BIGINT) AS order_count, CAST(total AS BIGINT) AS item_lines
+            FROM (
+                SELECT event_id % 64 AS shard, row_number() OVER w AS n,
+                       sum(CAST(props->>'$.k' AS INTEGER) % 3 + 1)
+                         OVER (w ROWS UNBOUNDED PRECEDING) AS total
+                FROM events
+                WHERE event_type = 'purchase' AND epoch_us(ts) <= (
+                    SELECT (epoch_us(max(ts)) // 1000 - 60000) * 1000
+                    FROM events WHERE event_type = 'purchase')
+                WINDOW w AS (PARTITION BY event_id % 64 ORDER BY ts, event_id))
             WHERE n % 10 = 0""",
         "late_split_stream": ORACLE["late_split"],
         "outbox_relay_stream": f"""{_WITH_OUTBOX}, tries AS (
