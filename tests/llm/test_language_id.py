@@ -1,3 +1,4 @@
+import random
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -101,3 +102,25 @@ def test_without_labels_or_rows(spark):
     assert language_id.predict_languages(cases.empty(spark)).count() == 0
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert language_id.predict_languages(docs).first().lang_pred == "und"
+
+
+def test_unlearned_languages_and_gibberish_are_rejected(spark, folder):
+    docs = spark.read.parquet(f"{folder.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    model = language_id.train(docs)
+    bounds = language_id.usual_rates(docs, model)
+    drawn = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(drawn.choices(letters, k=400)) for _ in range(20)]
+    texts += ["".join(chr(drawn.randrange(0x4E00, 0x9000)) for _ in range(300)) for _ in range(20)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert language_id.in_known_language(frame, model, bounds, 0.5).count() == 0
+    prose = docs.filter("text rlike '[a-z]{3}' and lang is not null")
+    kept = language_id.in_known_language(prose, model, bounds, 0.5)
+    assert kept.columns == prose.columns
+    assert kept.count() >= 0.99 * prose.count()
+
+
+def test_no_bound_without_held_out_texts(spark):
+    frame = spark.createDataFrame([(1, "a b c", None)], "doc_id long, text string, lang string")
+    assert language_id.usual_rates(frame, None) == {}
+    assert language_id.in_known_language(frame, None, {}, 0.5).count() == 0

@@ -150,3 +150,12 @@ def test_awkward_rows(spark):
 def test_empty_table(spark):
     assert near_dedup.classes(cases.empty(spark)).count() == 0
     assert near_dedup.drop_near_duplicates(cases.empty(spark)).count() == 0
+
+
+def test_rows_that_share_an_id_keep_their_texts(spark):
+    """Three different texts, two of them with one id: all stay; a repeated row stays once."""
+    texts = [cases.prose(i, 80) for i in (1, 2, 3)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (2, texts[2])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text) for r in near_dedup.drop_near_duplicates(frame).collect())
+    assert kept == sorted(rows[:3])

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -42,12 +43,17 @@ def verdicts(rows):
     kept = dict.fromkeys(hosts, True)
     for rule in rules.values():
         failed = {h: (sum(map(rule, c)), len(c)) for h, c in hosts.items()}
-        rates = [f / n for f, n in failed.values()]
-        if not rates:
+        docs, k = sum(n for _, n in failed.values()), len(failed)
+        if not docs:
             continue
-        mean = sum(rates) / len(rates)
-        spread = sum((r - mean) ** 2 for r in rates) / len(rates)
-        strength = mean * (1 - mean) / spread - 1 if spread > 0 else 1e9
+        mean = sum(f for f, _ in failed.values()) / docs
+        between = sum(n * (f / n - mean) ** 2 for f, n in failed.values())
+        known = docs - sum(n * n for _, n in failed.values()) / docs - (k - 1)
+        strength = 1e9
+        if 0 < mean < 1 and known > 0:
+            alike = (between / (mean * (1 - mean)) - (k - 1)) / known
+            if alike > 0:
+                strength = min(1e9, max(0.0, 1 / alike - 1))
         for h, (f, n) in failed.items():
             kept[h] &= (f + mean * strength) / (n + strength) <= 0.5
     return kept
@@ -118,3 +124,32 @@ def test_sql_gives_the_same(spark, folder):
 
     frame = queries.QUERIES["op4_host_quality"](spark, folder)
     assert compare.difference(frame, compare.connect(folder), ORACLE["op4_host_quality"]) is None
+
+
+def test_hosts_of_one_document_shrink_to_the_mean(spark):
+    """Forty hosts of one document, ten of them failing: none is told apart from chance."""
+    texts = [cases.prose(i, 90) for i in range(30)] + ["buy now"] * 10
+    hosts = [f"h{i}" for i in range(40)]
+    frame = cases.documents(spark, texts, source=hosts)
+    counted = quality_rules.count_rules(frame)
+    found = quality_rules.host_verdicts(counted).collect()
+    assert len(found) == 40
+    assert all(abs(r.host_rate - 0.25) < 1e-6 and r.host_kept for r in found)
+
+
+def test_prior_strength_is_that_of_the_drawn_rates():
+    """Counts drawn from a beta prior of known strength give about that strength back."""
+    drawn = random.Random(7)
+    hosts = []
+    for _ in range(4000):
+        n, rate = drawn.randint(1, 30), drawn.betavariate(2, 6)
+        hosts.append((sum(drawn.random() < rate for _ in range(n)), n))
+    docs = sum(n for _, n in hosts)
+    strength = quality_rules.prior_strength(
+        len(hosts),
+        docs,
+        sum(n * n for _, n in hosts),
+        sum(f for f, _ in hosts) / docs,
+        sum(f * f / n for f, n in hosts),
+    )
+    assert 7 < strength < 9

@@ -97,3 +97,17 @@ def test_clashing_names_and_empty(spark):
     row = url_filters.judge(frame).first()
     assert (row.host, row.rule, row.verdict) == ("a.org", "org/", "allow")
     assert url_filters.judge(spark.createDataFrame([], kinds)).count() == 0
+
+
+def test_very_long_names(spark):
+    """A host label and a path name of 100,000 letters are split like any other."""
+    long_name = "goodnews" * 12_500
+    rows = [
+        (1, f"http://{long_name}.net/a", "good news of the day"),
+        (2, f"http://x.org/{long_name}", "good good news"),
+        (3, "http://example.org/es/x", "day"),
+        (4, "http://goodnews.com/de/x", "of"),
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r for r in url_filters.judge(frame).collect()}
+    assert len(found) == 4 and found[3].rule == "example.org/es/" and found[1].verdict in ("allow", "block")

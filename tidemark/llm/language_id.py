@@ -30,6 +30,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from tidemark.llm.common import slices
 
 TRAIN_DOCS = 4000
+USUAL, SPARE, SLACK = 0.99, 1.25, 100.0
 FOLDS = 5
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -161,11 +162,17 @@ def train(docs: DataFrame, most: int = TRAIN_DOCS) -> Model | None:
 
 
 def identify(
-    docs: DataFrame, model: Model | None, pred: str = "lang_pred", likely: str = "score"
+    docs: DataFrame,
+    model: Model | None,
+    pred: str = "lang_pred",
+    likely: str = "score",
+    rate: str | None = None,
 ) -> DataFrame:
-    """Every column of ``docs`` and these two; columns of their names are replaced."""
-    kept = docs.drop(pred, likely)
-    names = kept.columns
+    """Every column of ``docs`` and these two; columns of their names are replaced.
+
+    With ``rate`` a third one: bits of the best code per byte, null for an unknown language.
+    """
+    kept = docs.drop(pred, likely, *([rate] if rate else []))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,28 +181,62 @@ def identify(
             for batch in slices(whole, 100):
                 texts = batch["text"].to_pylist()
                 preds, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+                rates: list[float | None] = [None] * len(texts)
                 places = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
                 if found and places:
-                    bits = found.all_bits([texts[i].lower().encode() for i in places])
+                    coded = [texts[i].lower().encode() for i in places]
+                    bits = found.all_bits(coded)
                     best = bits.argmin(1)
                     odds = np.exp2(-(bits - bits.min(1, keepdims=True)))
                     for i, place, score in zip(places, best, 1 / odds.sum(1)):
                         preds[i], scores[i] = found.langs[place], float(score)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
-                    names=[*names, pred, likely],
-                )
+                    for i, text, cost in zip(places, coded, bits.min(1)):
+                        rates[i] = float(cost) / len(text)
+                added = [pa.array(preds, pa.string()), pa.array(scores, pa.float64())]
+                added += [pa.array(rates, pa.float64())] if rate else []
+                yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=out.fieldNames())
 
     out = StructType(
         [
             *kept.schema.fields,
             StructField(pred, StringType()),
             StructField(likely, DoubleType()),
+            *([StructField(rate, DoubleType())] if rate else []),
         ]
     )
     return kept.mapInArrow(predict, out)
 
 
+def usual_rates(docs: DataFrame, model: Model | None) -> dict[str, float]:
+    """Per language the bits a byte that nearly all of its held-out labelled texts stay below.
+
+    ``USUAL`` of the texts, and ``SPARE`` on top. A language without such texts has no bound.
+    """
+    known = docs.filter(F.coalesce(held_out(), F.lit(False)) & F.col("lang").isNotNull())
+    told = identify(known.select("text", "lang"), model, "_td_pred", "_td_score", "_td_rate")
+    right = told.filter("_td_pred = lang").groupBy("lang")
+    found = right.agg(F.percentile_approx("_td_rate", USUAL).alias("rate")).collect()
+    return {row.lang: row.rate * SPARE for row in found}  # one row per language
+
+
+def in_known_language(
+    docs: DataFrame, model: Model | None, bounds: dict[str, float], least_score: float
+) -> DataFrame:
+    """The documents in one of the learned languages, with their own columns.
+
+    A text without a letter, without a likely language, or whose code is longer than the
+    bound of its language allows is in none. ``SLACK`` bits spare short texts.
+    """
+    judged = identify(docs, model, "_td_pred", "_td_score", "_td_rate")
+    bound = F.lit(None).cast("double")
+    for lang, most in bounds.items():
+        bound = F.when(F.col("_td_pred") == lang, most).otherwise(bound)
+    size = F.octet_length(F.lower("text"))
+    short = F.col("_td_rate") * size <= bound * size + SLACK
+    good = (F.col("_td_pred") != UNKNOWN) & (F.col("_td_score") >= least_score)
+    return judged.filter(good & F.coalesce(short, F.lit(True))).select(docs.columns)
+
+
 def predict_languages(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each document."""
     asked = docs.select(

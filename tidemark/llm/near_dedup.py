@@ -298,8 +298,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each class, the one with the least id; all columns kept."""
+    """One document of each class, the one with the least id; all columns kept.
+
+    Of rows that share that id each different text stays once.
+    """
     found = classes(docs, threshold)
     firsts = found.filter("doc_id = class_id").select(F.col("doc_id").alias("_first")).distinct()
     kept = docs.join(firsts, docs["doc_id"] == firsts["_first"], "semi")
-    return kept.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
+    texts = kept.withColumn("_td_digest", F.sha2("text", 256))
+    once = texts.dropDuplicates(["doc_id", "_td_digest"]).drop("_td_digest")
+    return once.unionByName(docs.filter("doc_id is null"))

@@ -16,10 +16,21 @@ _RULES = {
 def _host_quality() -> str:
     failed = ", ".join(f"CAST(count(*) FILTER ({c}) AS DOUBLE) AS {r}" for r, c in _RULES.items())
     moments = ", ".join(
-        f"avg({r} / n) AS {r}_mean, var_pop({r} / n) AS {r}_var" for r in _RULES
+        f"sum({r}) / sum(n) AS {r}_mean, sum({r} * {r} / n) AS {r}_q" for r in _RULES
     )
+    # What is known of differences between hosts, and how alike the documents of one are.
+    known = "(docs - squares / docs - (hosts - 1))"
+
+    def alike(r: str) -> str:
+        return (
+            f"((({r}_q - {r}_mean * {r}_mean * docs) / ({r}_mean * (1 - {r}_mean)) - (hosts - 1))"
+            f" / {known})"
+        )
+
     strengths = ", ".join(
-        f"CASE WHEN {r}_var > 0 THEN {r}_mean * (1 - {r}_mean) / {r}_var - 1 ELSE 1e9 END AS {r}_k"
+        f"CASE WHEN {r}_mean * (1 - {r}_mean) <= 0 OR {known} <= 0 THEN 1e9"
+        f" WHEN {alike(r)} <= 0 THEN 1e9"
+        f" ELSE least(1e9, greatest(0.0, 1 / {alike(r)} - 1)) END AS {r}_k"
         for r in _RULES
     )
     rates = ", ".join(f"({r} + {r}_mean * {r}_k) / (n + {r}_k)" for r in _RULES)
@@ -49,7 +60,9 @@ def _host_quality() -> str:
     hosts AS (
         SELECT source, count(*) AS n, {failed}
         FROM counted WHERE source IS NOT NULL GROUP BY 1),
-    moments AS (SELECT {moments} FROM hosts),
+    moments AS (
+        SELECT CAST(count(*) AS DOUBLE) AS hosts, CAST(sum(n) AS DOUBLE) AS docs,
+               CAST(sum(n * n) AS DOUBLE) AS squares, {moments} FROM hosts),
     prior AS (SELECT *, {strengths} FROM moments),
     verdicts AS (
         SELECT source, greatest({rates}) <= 0.5 AS good FROM hosts, prior)

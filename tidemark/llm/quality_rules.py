@@ -113,6 +113,26 @@ def rules() -> dict[str, Column]:
     }
 
 
+# How many documents the prior is worth where hosts do not differ beyond chance.
+STRONGEST = 1e9
+
+
+def prior_strength(hosts: int, docs: int, squares: int, mean: float, spread: float) -> float:
+    """alpha + beta of the beta prior, by the moments of beta-binomial counts.
+
+    ``squares`` is the sum of n * n over hosts and ``spread`` that of f * f / n. The weighted
+    variance of the rates has a part that drawing n documents makes by itself; only what is
+    beyond it counts as difference between hosts. Where that cannot be told (hosts of one
+    document each) or is none, the prior outweighs any host.
+    """
+    drawn = mean * (1 - mean)
+    known = docs - squares / docs - (hosts - 1) if docs else 0.0
+    if drawn <= 0 or known <= 0:
+        return STRONGEST
+    alike = ((spread - mean * mean * docs) / drawn - (hosts - 1)) / known
+    return min(STRONGEST, max(0.0, 1 / alike - 1)) if alike > 0 else STRONGEST
+
+
 def host_verdicts(counted: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     """host, host_rate (the worst shrunk rate over the rules) and host_kept."""
     hosts = (
@@ -123,16 +143,21 @@ def host_verdicts(counted: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
             *(F.sum(failed.cast("long")).alias(name) for name, failed in rules().items()),
         )
     )
-    moments = hosts.agg(
-        *(F.avg(F.col(name) / F.col("n")).alias(f"{name}_mean") for name in rules()),
-        *(F.var_pop(F.col(name) / F.col("n")).alias(f"{name}_var") for name in rules()),
+    n = F.col("n")
+    sums = hosts.agg(
+        F.count("*").alias("hosts"),
+        F.sum("n").alias("docs"),
+        F.sum(n * n).alias("squares"),
+        *(F.sum(name).alias(f"{name}_f") for name in rules()),
+        *(F.sum(F.col(name) * F.col(name) / n).alias(f"{name}_q") for name in rules()),
     ).first()  # one row whatever the number of hosts
     rates = []
     for name in rules():
-        mean, spread = moments[f"{name}_mean"] or 0.0, moments[f"{name}_var"] or 0.0
-        # Equal rates everywhere: the prior outweighs any host.
-        strength = mean * (1 - mean) / spread - 1 if spread > 0 else 1e9
-        rates.append((F.col(name) + mean * strength) / (F.col("n") + strength))
+        mean = (sums[f"{name}_f"] or 0) / (sums["docs"] or 1)
+        strength = prior_strength(
+            sums["hosts"], sums["docs"] or 0, sums["squares"] or 0, mean, sums[f"{name}_q"] or 0.0
+        )
+        rates.append((F.col(name) + mean * strength) / (n + strength))
     worst = F.greatest(*rates)
     return hosts.select("host", worst.alias("host_rate"), (worst <= limit).alias("host_kept"))
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, small
+from tidemark.llm.common import content_key, slices, small
 from tidemark.session import settle
 
 # Rule -> verdict; a rule is a host suffix followed by a path prefix.
@@ -40,6 +40,7 @@ RULES = {
     "com/de/": "block",
 }
 TRAIN_URLS = 100_000
+PART_LETTERS = 1 << 18
 
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -81,13 +82,13 @@ def counted_words(pages: DataFrame) -> DataFrame:
 
 def best_split(name: str, known: dict[str, float], unknown: float) -> list[str]:
     """The split of the highest score; a word of n letters that is not known has unknown - n."""
-    longest = max(map(len, known), default=0)
+    lengths = {len(word) for word in known}
     best = [(0.0, 0)]
     # Greatest score + position so far: where an unknown word does best to start.
     reach = (0.0, 0)
     for end in range(1, len(name) + 1):
         choices = [(reach[0] + unknown - end, reach[1])]
-        for start in range(max(0, end - longest), end):
+        for start in (end - n for n in lengths if n <= end):
             score = known.get(name[start:end])
             if score is not None:
                 choices.append((best[start][0] + score, start))
@@ -138,21 +139,35 @@ def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def split_names(names: DataFrame, counted: DataFrame) -> DataFrame:
-    """name and its words, for a table of distinct names and that of all counts."""
+    """name and its words, for a table of distinct names and that of all counts.
+
+    A long name has many substrings, so these carry its 128-bit key and not the name, and
+    come in batches of at most ``PART_LETTERS`` letters.
+    """
     about = counted.agg(
         F.sum("n").alias("total"), F.collect_set(F.char_length("word")).alias("lengths")
     ).first()
     total, lengths = int(about.total or 1), sorted(about.lengths)
 
+    def runs(name: str) -> Iterator[list[str]]:
+        """The distinct substrings of the lengths that words have, a bounded number at a time."""
+        for n in lengths if not name.startswith("#") else ():
+            if n > len(name):
+                return
+            each = max(1, PART_LETTERS // n)
+            for low in range(0, len(name) - n + 1, each):
+                high = min(low + each, len(name) - n + 1)
+                yield list({name[at : at + n] for at in range(low, high)})
+
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name in batch["name"].to_pylist():
-                for n in lengths:
-                    if n > len(name) or name.startswith("#"):
-                        break
-                    found = list({name[at : at + n] for at in range(len(name) - n + 1)})
+            keys = (batch[k].to_pylist() for k in ("key_a", "key_b", "name"))
+            for key_a, key_b, name in zip(*keys):
+                for found in runs(name):
+                    columns = [[key_a] * len(found), [key_b] * len(found)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(found)), pa.array(found)], names=["name", "word"]
+                        [*(pa.array(c, pa.int64()) for c in columns), pa.array(found)],
+                        names=["key_a", "key_b", "word"],
                     )
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,13 +182,15 @@ def split_names(names: DataFrame, counted: DataFrame) -> DataFrame:
                     [batch["name"], pa.array(out, pa.list_(pa.string()))], names=["name", "words"]
                 )
 
+    keyed = names.select(*content_key(F.col("name")), "name")
     known = (
-        names.mapInArrow(parts, "name string, word string")
+        keyed.mapInArrow(parts, "key_a long, key_b long, word string")
+        .distinct()
         .join(small(counted), "word")
-        .groupBy("name")
+        .groupBy("key_a", "key_b")
         .agg(F.collect_list(F.struct("word", "n")).alias("words"))
     )
-    joined = names.join(known, "name", "left")
+    joined = keyed.join(known, ["key_a", "key_b"], "left").select("name", "words")
     return settle(joined.mapInArrow(split, "name string, words array<string>"))
 
 
