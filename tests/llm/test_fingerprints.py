@@ -107,3 +107,75 @@ def test_edit_classes(spark):
     assert found == {i: i // 4 * 4 for i in range(len(texts))}
     assert fp.edit_classes(cases.empty(spark)).count() == 0
     assert fp.edit_classes(cases.awkward(spark)).count() == 15
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_within_against_the_whole_matrix():
+    drawn = random.Random(4)
+    for _ in range(1500):
+        a = "".join(drawn.choices("ab\u6f22\U0001f600", k=drawn.randint(0, 12)))
+        b = "".join(drawn.choices("ab\u6f22", k=drawn.randint(0, 12)))
+        b = drawn.choice([b, a[:4] + "b" + a[6:], a])
+        exact = distance(a, b)
+        assert [fp.within(a, b, most) for most in range(14)] == [exact <= m for m in range(14)]
+
+
+def some_edits(text, rate, drawn):
+    """Letters exchanged, deleted or put in, at most ``rate`` of the length."""
+    chars = list(text)
+    for at in sorted(drawn.sample(range(len(chars)), int(rate * len(chars))), reverse=True):
+        kind = drawn.randrange(3)
+        chars[at : at + 1] = [[], [drawn.choice(LETTERS)], [drawn.choice(LETTERS), chars[at]]][kind]
+    return "".join(chars)
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz "
+
+
+@pytest.mark.parametrize("words", [10, 50, 200, 1000])
+def test_recall_by_edit_rate(words):
+    drawn = random.Random(words)
+    for rate in (0.01, 0.05, 0.1):
+        first = [cases.prose(drawn.random(), words) for _ in range(40)]
+        second = [some_edits(text, rate, drawn) for text in first]
+        keys, owner = fp.band_keys(first + second)
+        held = [set(keys[owner == i].tolist()) for i in range(80)]
+        assert sum(bool(held[i] & held[40 + i]) for i in range(40)) >= 36, rate
+
+
+def test_edit_classes_against_all_pairs(spark):
+    drawn, texts = random.Random(5), []
+    for i in range(12):
+        base = cases.prose(200 + i, 40)
+        texts += [base] + [some_edits(base, rate, drawn) for rate in (0.01, 0.05, 0.1, 0.4)]
+    found = {r.doc_id: r.class_id for r in fp.edit_classes(cases.documents(spark, texts)).collect()}
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and distance(texts[i], texts[j]) <= 0.2 * max(
+                len(texts[i]), len(texts[j])
+            ):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert found == dict(enumerate(root))
+
+
+def test_edit_classes_of_awkward_rows(spark):
+    rows = fp.edit_classes(cases.awkward(spark)).collect()
+    classes = {}
+    for r in rows:
+        classes.setdefault(r.doc_id, set()).add(r.class_id)
+    assert classes[1] == classes[5] == {1} and classes[6] == {6}
+    # Null text is empty; a null id names no class that has another one.
+    assert classes[2] == classes[3] == classes[11] == {2}
+    assert classes[None] == {None, 2}
+    # Two texts of one id are judged one by one.
+    assert sum(r.doc_id == 7 for r in rows) == 2 and classes[7] == {7}

@@ -11,6 +11,11 @@ A fingerprint is ``SLOTS`` hexadecimal digits: slot k reads the place with the l
 keeps four bits of a hash of place and character. The likeness of two fingerprints is the
 share of equal digits, with the share that chance gives taken out.
 
+``edit_classes`` finds texts within an edit similarity of each other. In a long text the walks
+of two copies drift apart for good after enough edits, so there they start anew at anchors
+(``band_keys``), and places sampled from these short embeddings make the keys by which texts
+meet; the edit distance of all that meet is computed exactly.
+
 Null text is empty; all empty texts have one fingerprint. Equal texts have equal
 fingerprints whatever else is in the table. Rows that repeat an id are ordered by their
 text. A null id comes first. The last document is followed by the first one; a single
@@ -23,6 +28,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from math import floor
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +37,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shares, slices, small, text_bytes, text_or_empty
+from tidemark.llm.common import content_key, shares, slices, small, text_bytes, text_or_empty
 from tidemark.llm.grouping import link_classes, near_sizes
-from tidemark.llm.hashing import LOW64, ODD, mix, uniform
-from tidemark.llm.line_dedup import similar
+from tidemark.llm.hashing import LOW64, ODD, mix, powers, uniform
 from tidemark.session import settle
 
 SLOTS = 128
-BAND = 8
+# Keys of a document: anchors, characters of an anchor, places of a walk that may be read,
+# places read, characters read there, and characters walked (a step writes a place at least).
+ANCHORS, GRAM, PLACES, READS, RUN = 64, 6, 24, 2, 6
+REACH = PLACES + GRAM + 1
 PERIOD = 4096
 THRESHOLD = 0.8
 RANGE_BYTES = 16 << 20
@@ -80,8 +89,12 @@ def _places() -> list[np.ndarray]:
     return out
 
 
-def fingerprints(texts: list[str]) -> np.ndarray:
-    """One row of digits (0..15) per text."""
+def _walks(texts: list[str]) -> tuple:
+    """The walks over some texts, one after the other.
+
+    Gives the code points, their symbols, the length of each text, its number of places, its
+    first place, and the place at which each character is written first.
+    """
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
     symbols = ((points ^ (points >> 8) * np.uint32(31)) & np.uint32(255)).astype(np.uint8)
     lengths = np.array([len(t) for t in texts], np.int64)
@@ -114,11 +127,20 @@ def fingerprints(texts: list[str]) -> np.ndarray:
     written = np.empty(len(texts), np.int64)
     written[order] = now
     offsets = np.cumsum(written) - written
-    world = times + np.repeat(offsets, lengths)
+    return points, symbols, lengths, written, offsets, times + np.repeat(offsets, lengths)
+
+
+def _sampled(places: np.ndarray, written: np.ndarray) -> np.ndarray:
+    """The place a slot reads in each embedding: the one with the least hash of all it has."""
+    return places[np.maximum(np.searchsorted(places, written) - 1, 0)]
+
+
+def _digits(texts: list[str], walks: tuple) -> np.ndarray:
+    _, symbols, lengths, written, offsets, world = walks
     out = np.empty((len(texts), SLOTS), np.uint8)
     full = lengths > 0
     for slot, places in enumerate(_places()):
-        place = places[np.maximum(np.searchsorted(places, written) - 1, 0)]
+        place = _sampled(places, written)
         read = np.full(len(texts), EMPTY, np.uint64)
         found = np.searchsorted(world, (offsets + place)[full], "right") - 1
         read[full] = symbols[found]
@@ -127,6 +149,79 @@ def fingerprints(texts: list[str]) -> np.ndarray:
     return out
 
 
+def fingerprints(texts: list[str]) -> np.ndarray:
+    """One row of digits (0..15) per text."""
+    return _digits(texts, _walks(texts))
+
+
+def _anchors(hashes: np.ndarray, most: int) -> np.ndarray:
+    """Places of the ``most`` least distinct hashes, each where it comes first."""
+    kept = np.arange(len(hashes))
+    if len(hashes) > 8 * most:
+        bound = np.partition(hashes, 4 * most)[4 * most]
+        least = np.flatnonzero(hashes <= bound)
+        if len(np.unique(hashes[least])) >= most:
+            kept = least
+    _, first = np.unique(hashes[kept], return_index=True)
+    return kept[first[:most]]
+
+
+def band_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all texts, and for each key the number of its text.
+
+    The walk starts anew at each anchor: the ``ANCHORS`` distinct runs of ``GRAM`` characters
+    with the least hashes. A key holds an anchor and what ``READS`` places of its embedding
+    read, ``RUN`` characters each; the places are drawn by the anchor. Edits elsewhere in a
+    text cannot bring these walks out of step, however long the text is.
+    """
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    padded = np.concatenate([points, np.zeros(REACH + RUN, np.uint32)]).astype(np.uint64)
+    lengths = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(lengths)
+    grams = np.zeros(len(points), np.uint64)
+    for at, weight in enumerate(powers(GRAM, int(ODD))):
+        grams += (padded[at : at + len(points)] + np.uint64(1)) * weight
+    grams = mix(grams)
+    anchors, owner = [], []
+    for text, (end, length) in enumerate(zip(ends.tolist(), lengths.tolist())):
+        if length:
+            # A text shorter than a run has its start as the only anchor.
+            last = max(end - GRAM + 1, end - length + 1)
+            found = _anchors(grams[end - length : last], ANCHORS) + (end - length)
+            anchors.append(found)
+            owner.append(np.full(len(found), text))
+    if not anchors:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    at, owner = np.concatenate(anchors), np.concatenate(owner)
+    stop = ends[owner]
+    symbols = ((padded ^ (padded >> np.uint64(8)) * np.uint64(31)) & np.uint64(255)).astype(np.int64)
+    steps = _steps()
+
+    def run(start: np.ndarray, n: int) -> np.ndarray:
+        held = np.zeros(len(start), np.uint64)
+        for i, weight in enumerate(powers(n, int(ODD))):
+            there = start + i
+            held += np.where(there < stop, padded[there] + np.uint64(1), np.uint64(0)) * weight
+        return held
+
+    key = mix(run(at, GRAM))
+    wanted = [
+        (mix(key + np.uint64(i + 1)) % np.uint64(PLACES // READS)).astype(np.int64)
+        + GRAM
+        + i * (PLACES // READS)
+        for i in range(READS)
+    ]
+    reads = [at] * READS
+    now, place = np.zeros(len(at), np.int64), at.copy()
+    for _ in range(REACH):
+        reads = [np.where(now <= w, place, r) for w, r in zip(wanted, reads)]
+        now = now + steps[(symbols[np.minimum(place, stop - 1)] << 12) | (now & (PERIOD - 1))]
+        place = np.minimum(place + 1, stop)
+    for read in reads:
+        key = mix(key * ODD + run(read, RUN))
+    return key, owner
+
+
 @lru_cache(maxsize=1)
 def _step_rows() -> list[bytes]:
     return [row.astype(np.uint8).tobytes() for row in _steps().reshape(256, PERIOD)]
@@ -250,63 +345,118 @@ def compare_with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
     return walked.filter("edge is null").select(*NAMES).unionByName(met)
 
 
-def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row without its text, with the keys of the text."""
     for whole in batches:
         for batch in slices(whole, 500):
             texts = batch["text"].to_pylist()
-            marks = text_of(fingerprints(texts)) if texts else []
+            keys, owner = band_keys(texts)
+            places = np.searchsorted(owner, np.arange(len(texts) + 1))
+            buckets = pa.ListArray.from_arrays(
+                pa.array(places, pa.int32()), pa.array(keys.view(np.int64))
+            )
+            kept = [batch[n] for n in ("doc_id", "key_a", "key_b", "n_chars")]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"],
-                    pa.array([len(t) for t in texts], pa.int64()),
-                    pa.array(marks, pa.string()),
-                    pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()),
-                ],
-                names=["doc_id", "n_chars", "fingerprint", "digest"],
+                [*kept, buckets], names=["doc_id", "key_a", "key_b", "n_chars", "buckets"]
             )
 
 
+def within(a: str, b: str, most: int) -> bool:
+    """Whether the edit distance of two texts is at most ``most``.
+
+    A column of the distance matrix is held as two whole numbers, the bits of its steps up
+    and down, so a character of ``b`` costs a few operations on len(a) bits. It ends as soon
+    as even equal characters from here on leave too many edits.
+    """
+    if abs(len(a) - len(b)) > most:
+        return False
+    same = len(commonprefix((a, b)))
+    a, b = a[same:], b[same:]
+    same = len(commonprefix((a[::-1], b[::-1])))
+    a, b = a[: len(a) - same], b[: len(b) - same]
+    if not a or not b:
+        return max(len(a), len(b)) <= most
+    size, points = len(a), np.frombuffer(a.encode("utf-32-le", "surrogatepass"), "<u4")
+    masks = {
+        chr(c): int.from_bytes(np.packbits(points == c, bitorder="little").tobytes(), "little")
+        for c in np.unique(points).tolist()
+    }
+    full = (1 << size) - 1
+    up, down, distance, left = full, 0, size, len(b)
+    for char in b:
+        equal = masks.get(char, 0)
+        across = ((((equal & up) + up) ^ up) | equal) & full
+        rise = down | (full ^ (across | up))
+        fall = up & across
+        # The top bit says how the last row changes.
+        if rise.bit_length() == size:
+            distance += 1
+        elif fall.bit_length() == size:
+            distance -= 1
+        left -= 1
+        if distance - left > most:
+            return False
+        rise = (rise << 1 | 1) & full
+        down_or_equal = equal | down
+        up = (fall << 1) & full | (full ^ (down_or_equal | rise))
+        down = rise & down_or_equal
+    return distance <= most
+
+
+def near(a: str, b: str, threshold: float) -> bool:
+    """Whether 1 - distance / length of the longer text reaches the threshold."""
+    return within(a, b, floor((1 - threshold) * max(len(a), len(b)) + 1e-9))
+
+
 def edit_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id: groups of documents that are linked by a small edit distance.
 
-    Fingerprints are cut into bands of ``BAND`` digits; documents that share one are verified
-    by their edit similarity. Empty texts and null ids link nothing.
+    Documents that share a key of ``band_keys`` are verified by their edit similarity. The
+    class id is the least id of the group. Equal texts are one class, empty ones (and null,
+    which is read as empty) too. Rows that repeat an id are judged row by row, each by its
+    text. A null id is one like any other, but names a class only if the group has no other.
+    An empty table gives an empty result.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    marked = settle(
-        texts.mapInArrow(
-            _mark, "doc_id long, n_chars long, fingerprint string, digest binary"
-        )
+    size = F.char_length("text").cast("long").alias("n_chars")
+    keyed = texts.select("doc_id", "text", *content_key(F.col("text")), size)
+    schema = "doc_id long, key_a long, key_b long, n_chars long, buckets array<long>"
+    marked = settle(keyed.mapInArrow(_keyed, schema))
+    # One node per text; all rows of a text have the same keys.
+    kinds = settle(
+        marked.groupBy("key_a", "key_b", "n_chars")
+        .agg(F.min("doc_id").alias("first_doc"), F.first("buckets").alias("buckets"))
+        .withColumn("node", F.monotonically_increasing_id())
     )
-    bands = F.array(
-        *(
-            F.xxhash64(F.lit(at), F.substring("fingerprint", at + 1, BAND))
-            for at in range(0, SLOTS, BAND)
+    nodes = kinds.select("node", F.col("n_chars").alias("size"), F.lit(0).alias("mark"))
+    members = kinds.select("node", F.explode("buckets").alias("bucket"))
+
+    def load(wanted: DataFrame) -> DataFrame:
+        """The texts of these nodes, each from one row of its first document."""
+        asked = settle(
+            kinds.join(small(wanted), "node", "semi").select(
+                "node", "key_a", "key_b", F.col("first_doc").alias("_in")
+            )
         )
-    )
-    kinds = (
-        marked.filter("doc_id is not null and n_chars > 0")
-        .groupBy("digest", "fingerprint", "n_chars")
-        .agg(F.min("doc_id").alias("node"))
-    )
-    nodes = kinds.groupBy("node").agg(F.min("n_chars").alias("size"), F.lit(0).alias("mark"))
-    members = kinds.select("node", F.explode(bands).alias("bucket"))
-
-    def load(nodes: DataFrame) -> DataFrame:
-        ids = small(nodes).withColumnRenamed("node", "doc_id")
-        return settle(texts.join(ids, "doc_id", "semi"))
+        here = F.col("doc_id").eqNullSafe(F.col("_in"))
+        found = keyed.join(small(asked), ["key_a", "key_b"]).filter(here)
+        return settle(found.select("node", "text").dropDuplicates(["node"]))
 
     def verify(pairs: DataFrame, content: DataFrame) -> DataFrame:
-        first = content.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-        second = content.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+        first = content.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+        second = content.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         joined = pairs.join(first, "a").join(second, "b")
-        return joined.filter(similar("text_a", "text_b", threshold)).select("a", "b").distinct()
+
+        def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = zip(batch["text_a"].to_pylist(), batch["text_b"].to_pylist())
+                good = pa.array([near(x, y, threshold) for x, y in texts], pa.bool_())
+                yield batch.select(["a", "b"]).filter(good)
+
+        return joined.mapInArrow(similar, "a long, b long")
 
     roots = link_classes(nodes, members, near_sizes(threshold), load, verify)
-    named = kinds.join(roots, "node", "left").select(
-        "digest", F.coalesce("root", "node").alias("class_id")
-    )
-    return marked.join(named, "digest", "left").select(
-        "doc_id",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
-    )
+    rooted = kinds.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = rooted.groupBy("root").agg(F.min("first_doc").alias("class_id"))
+    known = rooted.select("root", "key_a", "key_b").join(named, "root")
+    return marked.join(known, ["key_a", "key_b"]).select("doc_id", "class_id")
