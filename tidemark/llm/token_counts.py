@@ -16,10 +16,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, text_or_empty
+from tidemark.llm.common import slices, small, text_or_empty
 from tidemark.llm.tokens import encoder, version
 from tidemark.session import settle
 
@@ -30,9 +31,13 @@ STORED = "digest binary, n_tokens long, tokenizer string"
 
 
 def stored(spark: SparkSession, cache: str, vocabulary: str = VOCABULARY) -> DataFrame:
-    """The stored counts of this tokenizer version, one row per digest."""
-    spark.createDataFrame([], STORED).write.mode("append").parquet(cache)  # makes the folder
-    rows = spark.read.schema(STORED).parquet(cache)
+    """The stored counts of this tokenizer version, one row per digest; none without a cache."""
+    try:
+        rows = spark.read.schema(STORED).parquet(cache)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], STORED)
     return (
         rows.filter(F.col("tokenizer") == version(vocabulary))
         .groupBy("digest")
@@ -66,9 +71,14 @@ def refresh(docs: DataFrame, cache: str, vocabulary: str = VOCABULARY) -> DataFr
     keys = settle(
         keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
     )
+    # The lookup takes digests only. Texts are read once more for those that are missing, and
+    # only these texts travel.
     known = stored(spark, cache, vocabulary).select("digest")
+    missing = settle(keys.select("digest").distinct().join(known, "digest", "anti"))
     misses = (
-        keyed.select("digest", "text").dropDuplicates(["digest"]).join(known, "digest", "anti")
+        keyed.select("digest", "text")
+        .join(small(missing), "digest", "semi")
+        .dropDuplicates(["digest"])
     )
     counted = misses.mapInArrow(_counts(vocabulary), "digest binary, n_tokens long")
     (

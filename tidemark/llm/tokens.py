@@ -53,6 +53,12 @@ class Encoder:
         return np.array(self.ids(text), "<u4")
 
 
+def _rank_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(os.path.splitext(name)[0] + ".tiktoken")
+
+
 def _ranked(name: str, special: dict[str, int]):
     """The encoder over ranks, where the vocabulary also comes as ranks."""
     import base64
@@ -60,7 +66,7 @@ def _ranked(name: str, special: dict[str, int]):
     import public_tokenizers
     import tiktoken
 
-    path = public_tokenizers.path(os.path.splitext(name)[0] + ".tiktoken")
+    path = _rank_file(name)
     if not os.path.exists(path):
         return None
     with open(path, "rb") as file:
@@ -78,13 +84,18 @@ def encoder(name: str) -> Encoder:
 
 
 def version(name: str) -> str:
-    """A digest of the vocabulary file and the library: what the ids depend on."""
+    """A digest of what the ids depend on: the vocabulary, as file and ranks, and the libraries."""
     import hashlib
 
     import public_tokenizers
+    import tiktoken
     import tokenizers
 
-    with open(public_tokenizers.path(name), "rb") as file:
-        found = hashlib.sha256(file.read())
-    found.update(tokenizers.__version__.encode())
+    found = hashlib.sha256(public_tokenizers.PATTERN.encode())
+    for path in (public_tokenizers.path(name), _rank_file(name)):
+        if os.path.exists(path):
+            with open(path, "rb") as file:
+                found.update(hashlib.sha256(file.read()).digest())
+    for library in (tokenizers, tiktoken):
+        found.update(f"{library.__name__} {library.__version__}\n".encode())
     return found.hexdigest()
