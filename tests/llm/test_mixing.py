@@ -1,5 +1,6 @@
 import math
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import cases
 import pytest
@@ -16,13 +17,15 @@ def docs_of(spark, sizes):
     return spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
 
 
-def shares_of(sizes, targets, period):
-    weight = {s: targets.get(s, 0.0) if targets else n**mixing.POWER for s, n in sizes.items()}
-    total = sum(weight.values())
-    return {s: max(1, math.floor(weight[s] / total * period + 0.5)) for s in sizes}
+def weights_of(sizes, targets):
+    """The unrounded target weight of each source."""
+    return {
+        s: Fraction(targets.get(s, 0.0) if targets else float(n) ** mixing.POWER)
+        for s, n in sizes.items()
+    }
 
 
-def check(rows, sizes, targets, block, period):
+def check(rows, sizes, targets, block):
     by_source, by_slot = defaultdict(list), defaultdict(list)
     for r in rows:
         by_source[r.source].append(r)
@@ -38,60 +41,53 @@ def check(rows, sizes, targets, block, period):
     for own in by_slot.values():
         assert len({(r.source, r.block) for r in own}) == 1
     # Less than one block from the share, in every prefix of the run in which all have blocks.
-    share = shares_of(sizes, targets, period)
+    weights = weights_of(sizes, targets)
     blocks = {s: math.ceil(n / block) for s, n in sizes.items()}
-    full = min(blocks[s] // share[s] for s in sizes) * sum(share.values())
+    total = sum(weights.values())
+    full = min(blocks[s] * total // w for s, w in weights.items() if w)
     done = Counter()
     for slot in range(full):
         done[by_slot[slot][0].source] += 1
-        for source, q in share.items():
-            assert abs(done[source] - (slot + 1) * q / sum(share.values())) < 1
+        for source, w in weights.items():
+            assert abs(done[source] - (slot + 1) * w / total) < 1
 
 
 @pytest.mark.parametrize(
-    "sizes, targets, block, period",
+    "sizes, targets, block",
     [
-        ({"a": 60, "b": 30, "c": 10}, {"a": 0.5, "b": 0.3, "c": 0.2}, 1, 10),
-        ({"a": 500, "b": 20, "c": 7, "d": 1}, None, 1, 13),
-        ({"a": 100, "b": 100}, {"a": 1.0, "b": 2.0}, 3, 30),
-        ({"a": 40, "b": 45}, {"a": 1.0}, 4, 20),
-        ({"a": 5}, None, 8, 1000),
+        ({"a": 60, "b": 30, "c": 10}, {"a": 0.5, "b": 0.3, "c": 0.2}, 1),
+        ({"a": 500, "b": 20, "c": 7, "d": 1}, None, 1),
+        ({"a": 100, "b": 100}, {"a": 1.0, "b": 2.0}, 3),
+        ({"a": 40, "b": 45}, {"a": 1.0}, 4),
+        ({"a": 5}, None, 8),
     ],
 )
-def test_deviation_is_below_one_block(spark, sizes, targets, block, period):
-    rows = mixing.schedule(docs_of(spark, sizes), targets, block, period).collect()
-    check(rows, sizes, targets, block, period)
+def test_deviation_is_below_one_block(spark, sizes, targets, block):
+    rows = mixing.schedule(docs_of(spark, sizes), targets, block).collect()
+    check(rows, sizes, targets, block)
 
 
 def test_slots_equal_a_plain_simulation(spark):
-    """Earliest deadline among released blocks, slot by slot."""
-    sizes, period = {"a": 40, "b": 25, "c": 15}, 8
-    share = shares_of(sizes, None, period)
-    total, done, want = sum(share.values()), Counter(), []
-    cycles = min(n // share[s] for s, n in sizes.items())
-    for slot in range(cycles * total):
-        released = [s for s in sizes if math.floor(done[s] * total / share[s]) <= slot]
-        pick = min(released, key=lambda s: (math.ceil((done[s] + 1) * total / share[s]), s))
+    """Earliest deadline among released blocks, slot by slot, while no source runs out."""
+    sizes = {"a": 40, "b": 25, "c": 15}
+    weights = weights_of(sizes, None)
+    total, done, want = sum(weights.values()), Counter(), []
+    cycles = min(n / weights[s] for s, n in sizes.items())
+    for slot in range(math.floor(cycles * total - total / min(weights.values()))):
+        released = [s for s in sizes if math.floor(done[s] * total / weights[s]) <= slot]
+        pick = min(released, key=lambda s: (math.ceil((done[s] + 1) * total / weights[s]), s))
         done[pick] += 1
         want.append(pick)
-    rows = mixing.schedule(docs_of(spark, sizes), None, 1, period).collect()
+    rows = mixing.schedule(docs_of(spark, sizes), None, 1).collect()
     order = [r.source for r in sorted(rows, key=lambda r: r.slot)]
-    assert order[: len(want)] == want
+    assert order[: len(want)] == want and len(want) > 50
 
 
 def test_query_over_whole_table(spark, folder):
     rows = queries.QUERIES["op9_pfair_mix"](spark, folder).collect()
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
     assert sorted(r.doc_id for r in rows) == sorted(d.doc_id for d in docs)
-    check(rows, Counter(d.source for d in docs), None, mixing.BLOCK, mixing.PERIOD)
-
-
-def test_small_sources_share_a_place(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "MOST_SOURCES", 2)
-    sizes = {"a": 30, "b": 20, "c": 3, "d": 2}
-    rows = mixing.schedule(docs_of(spark, sizes), None, 1, 10).collect()
-    assert Counter(r.source for r in rows) == Counter(sizes)
-    assert sorted(r.slot for r in rows) == list(range(55))
+    check(rows, Counter(d.source for d in docs), None, mixing.BLOCK)
 
 
 def test_mix_keeps_rows_and_order(spark, work):

@@ -58,8 +58,8 @@ def test_whole_run_stays_near_the_fluid_schedule():
 
 
 def test_every_source_has_its_own_place(spark):
-    """More sources than MOST_SOURCES, and a small one with a high target."""
-    sizes = {f"s{i:03d}": 12 for i in range(mixing.MOST_SOURCES + 30)} | {"tiny": 5, None: 7}
+    """Many small sources, and one with a high target."""
+    sizes = {f"s{i:03d}": 12 for i in range(130)} | {"tiny": 5, None: 7}
     targets = {s: 1.0 for s in sizes if s} | {"tiny": 40.0}
     frame = docs_of(spark, sizes)
     order = order_of(mixing.schedule(frame, targets, 1))

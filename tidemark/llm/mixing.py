@@ -15,11 +15,6 @@ Every source has a place of its own. The driver holds one row per source and wal
 the blocks once (some microseconds for ``BLOCK`` documents), writing ``CHUNK`` slots at a time;
 documents are numbered and joined by Spark and never reach it.
 
-With an explicit ``period`` shares are rounded to whole numbers of blocks per cycle, at least
-one, so that the schedule repeats and is computed once per segment (a run of cycles in which
-the same sources still have blocks); sources beyond the ``MOST_SOURCES`` largest share one
-place then. The query and the pipeline do not use that.
-
 Rows that repeat an id travel together as one document, rows with a null id too; its source
 is the least one among them. A null source is a source of its own. An empty table gives an
 empty result. Other columns are carried by ``mix`` and ignored by ``schedule``.
@@ -34,14 +29,12 @@ from fractions import Fraction
 from itertools import accumulate, islice
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small
 from tidemark.session import new_folder, settle
 
-PERIOD = 1000
-MOST_SOURCES = 100
 BLOCK = 8
 # Target weight of a source of n documents: n to this power.
 POWER = 0.5
@@ -93,7 +86,7 @@ def slots_of(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int
         yield from slots_of([float(n > 0) for n in rest], rest)
 
 
-def _exact(keys: DataFrame, targets: dict[str, float] | None, block: int) -> DataFrame:
+def _timed(keys: DataFrame, targets: dict[str, float] | None, block: int) -> DataFrame:
     """The schedule by unrounded weights, with a place for each source."""
     spark = keys.sparkSession
     sizes = keys.groupBy("source").agg(F.count("*").alias("n"))
@@ -132,118 +125,6 @@ def _exact(keys: DataFrame, targets: dict[str, float] | None, block: int) -> Dat
     )
 
 
-def _sources(keys: DataFrame, targets: dict[str, float] | None, block: int, period: int):
-    """One row per place in the schedule: its share, and the cycles it lasts.
-
-    At most ``MOST_SOURCES`` places and one for all other sources.
-    """
-    sizes = keys.groupBy("source").agg(F.count("*").alias("n"))
-    order = [F.desc("n"), F.asc_nulls_first("source")]
-    if targets is None:
-        weight = F.pow(F.col("n").cast("double"), F.lit(POWER))
-    else:
-        pairs = [F.lit(x) for pair in targets.items() for x in pair]
-        weight = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("source")), F.lit(0.0))
-    largest = sizes.orderBy(*order).limit(MOST_SOURCES)  # the feature: who has an own place
-    named = largest.select(F.col("source").alias("own"), F.lit(True).alias("named"))
-    weighted = (
-        sizes.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("own")), "left")
-        .select("source", "n", "named", weight.alias("w"))
-        .groupBy(
-            F.when(F.col("named"), F.col("source")).alias("source"),
-            F.col("named").isNull().alias("pooled"),
-        )
-        .agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
-    )
-    every = F.struct("source", "pooled", "n", "w")
-    one = weighted.agg(
-        F.sort_array(F.collect_list(every)).alias("all"), F.sum("w").alias("total")
-    )
-    rows = one.select("total", F.posexplode("all").alias("place", "s")).select(
-        "place",
-        "s.*",
-        F.ceil(F.col("s.n") / block).alias("blocks"),
-        F.greatest(F.round(F.col("s.w") / F.col("total") * period), F.lit(1))
-        .cast("long")
-        .alias("share"),
-    )
-    return rows.withColumn("full", F.floor(F.col("blocks") / F.col("share")))
-
-
-def _pick(share: Column, done: Column, slot: Column, total: Column) -> Column:
-    """The place whose released block has the earliest deadline in this slot."""
-    waiting = F.transform(
-        share,
-        lambda q, g: F.when(
-            # released: floor(done * total / q) <= slot
-            (q > 0) & (done[g] * total < (slot + 1) * q),
-            F.struct(F.ceil((done[g] + 1) * total / q).alias("due"), g.alias("place")),
-        ),
-    )
-    return F.array_min(waiting)["place"]
-
-
-def _timetable(sources: DataFrame) -> DataFrame:
-    """(segment, first cycle, slots before it, slots per cycle, place, turn, slot)."""
-    fields = F.struct("place", "share", "blocks", "full")
-    one = sources.agg(F.sort_array(F.collect_list(fields)).alias("all"))
-    breaks = F.array_sort(
-        F.array_distinct(
-            F.flatten(
-                F.array(
-                    F.array(F.lit(0).cast("long")),
-                    F.transform("all", lambda s: s["full"]),
-                    F.transform("all", lambda s: s["full"] + 1),
-                )
-            )
-        )
-    )
-    segments = (
-        one.select("all", breaks.alias("breaks"))
-        .select("all", "breaks", F.posexplode("breaks").alias("segment", "first"))
-        .select(
-            "segment",
-            "first",
-            (F.coalesce(F.get("breaks", F.col("segment") + 1), F.col("first")) - F.col("first"))
-            .alias("cycles"),
-            F.transform(
-                "all",
-                lambda s: F.when(F.col("first") < s["full"], s["share"])
-                .when(F.col("first") == s["full"], s["blocks"] - s["full"] * s["share"])
-                .otherwise(0),
-            ).alias("share"),
-        )
-        .withColumn("total", F.aggregate("share", F.lit(0).cast("long"), lambda a, q: a + q))
-        .filter("total > 0 and cycles > 0")
-    )
-    start = F.struct(
-        F.transform("share", lambda q: F.lit(0).cast("long")).alias("done"),
-        F.array().cast("array<int>").alias("picks"),
-    )
-
-    def step(state: Column, slot: Column) -> Column:
-        pick = _pick(F.col("share"), state["done"], slot, F.col("total"))
-        return F.transform(
-            F.array(pick),
-            lambda p: F.struct(
-                F.transform(
-                    state["done"], lambda d, g: F.when(g == p, d + 1).otherwise(d)
-                ).alias("done"),
-                F.concat(state["picks"], F.array(p)).alias("picks"),
-            ),
-        )[0]
-
-    slots = F.sequence(F.lit(0).cast("long"), F.col("total") - 1)
-    before = Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    run = segments.withColumn(
-        "base", F.coalesce(F.sum(F.col("cycles") * F.col("total")).over(before), F.lit(0))
-    ).withColumn("picks", F.aggregate(slots, start, step)["picks"])
-    turns = Window.partitionBy("segment", "place").orderBy("slot")
-    return run.select(
-        "segment", "first", "base", "total", F.posexplode("picks").alias("slot", "place")
-    ).withColumn("turn", F.row_number().over(turns) - 1)
-
-
 def _numbered(keys: DataFrame) -> DataFrame:
     """Documents numbered per place from 0 in id order, with no place in one task.
 
@@ -268,63 +149,20 @@ def schedule(
     docs: DataFrame,
     targets: dict[str, float] | None = None,
     block: int = BLOCK,
-    period: int | None = None,
 ) -> DataFrame:
     """doc_id, source, block (of its place in the schedule), slot (of the block, gapless) and
     spot (in the block) of each document."""
     keys = settle(docs.groupBy("doc_id").agg(F.min("source").alias("source")))
-    if period is None:
-        return _exact(keys, targets, block)
-    sources = settle(_sources(keys, targets, block, period))
-    own = sources.filter(~F.col("pooled")).select(
-        F.col("source").alias("own"), F.col("place").alias("own_place")
-    )
-    pooled = sources.filter("pooled").select(F.col("place").alias("pooled_place"))
-    # Bounded: at most MOST_SOURCES rows, and one row.
-    rest = pooled.first()
-    placed = keys.join(
-        F.broadcast(own), F.col("source").eqNullSafe(F.col("own")), "left"
-    ).select(
-        "doc_id",
-        "source",
-        F.coalesce("own_place", F.lit(rest.pooled_place if rest else None).cast("int")).alias(
-            "place"
-        ),
-    )
-    timetable = settle(_timetable(sources))
-    ends = timetable.select("segment", "first").distinct()
-    firsts = sorted(row["first"] for row in ends.collect())  # two per source at most
-    breaks = F.array(*(F.lit(f).cast("long") for f in firsts)) if firsts else F.array()
-    shares = sources.select("place", "share")
-    cycle, number = F.col("cycle"), F.col("number")
-    blocks = (
-        _numbered(placed)
-        .join(F.broadcast(shares), "place")
-        .withColumn("block", F.floor(number / block))
-        .withColumn("spot", number % block)
-        .withColumn("cycle", F.floor(F.col("block") / F.col("share")))
-        .withColumn("turn", (F.col("block") % F.col("share")).cast("int"))
-        .withColumn("first", F.array_max(F.filter(breaks, lambda b: b <= cycle)))
-    )
-    # Bounded by parameters: at most (2 * sources + 1) * (PERIOD + sources) rows.
-    slots = timetable.select("first", "base", "total", "place", "turn", "slot")
-    return blocks.join(F.broadcast(slots), ["first", "place", "turn"]).select(
-        "doc_id",
-        "source",
-        "block",
-        (F.col("base") + (cycle - F.col("first")) * F.col("total") + F.col("slot")).alias("slot"),
-        "spot",
-    )
+    return _timed(keys, targets, block)
 
 
 def mix(
     docs: DataFrame,
     targets: dict[str, float] | None = None,
     block: int = BLOCK,
-    period: int | None = None,
 ) -> DataFrame:
     """The documents, all columns kept, in the order of the schedule."""
-    places = schedule(docs, targets, block, period).select(
+    places = schedule(docs, targets, block).select(
         F.col("doc_id").alias("_mix_id"),
         F.col("slot").alias("_mix_slot"),
         F.col("spot").alias("_mix_spot"),
