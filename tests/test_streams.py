@@ -19,7 +19,7 @@ from tidemark.plans.streams import fail_some
 from tidemark.schemas import OUTBOX_EVENTS
 from tidemark.sources import files, tables
 from tidemark.sources.messages import decode_placed
-from tidemark.streaming import fulfillment, ingest, join, late, relay, snapshot
+from tidemark.streaming import fulfillment, ingest, join, late, relay, snapshot, totals
 from tidemark.streaming import metrics as live
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -91,6 +91,72 @@ def test_metrics_over_batches(spark, folder, land, work, broken, fail_at):
     assert same(live.read_metrics(spark, work).select(*want.columns), want)
 
 
+@pytest.mark.parametrize("fail_at", [None, 2, 3, 6])
+def test_running_totals_over_batches(spark, folder, land, work, broken, fail_at):
+    source = tables.purchases(tables.events(spark, folder))
+    numbered = ordered.number_rows(source, ["event_time", "event_id"]).withColumn(
+        "n", F.col("n") - 1
+    )
+    path = land(parts(numbered, "n", 4))
+    if fail_at:
+        broken(fail_at)
+
+    def start():
+        stream = files.stream_files(spark, path, numbered.schema, files_per_batch=1)
+        return [totals.start_running_totals(stream, "1h", work)]
+
+    run_to_the_end(start)
+    newest = source.agg(F.max("event_time")).first()[0]
+    closed = metrics.windowed_metrics(source, "1h").where(
+        F.col("window_end") <= F.lit(newest) - F.expr("interval 60 seconds")
+    )
+    want = metrics.running_daily_totals(closed)
+    assert want.count() > 24
+    assert same(totals.read_running_totals(spark, work).select(*want.columns), want)
+
+
+def test_running_totals_of_quiet_batches(spark, land, work):
+    """Batches that close no window hand the totals on; the next day starts from zero."""
+    at = lambda text: datetime.fromisoformat(f"2024-01-{text}+00:00")
+    schema = "event_time timestamp, amount double"
+    batches = [
+        [(at("01 22:10"), 1.0), (at("01 23:05"), 2.0)],
+        [(at("01 23:06"), 4.0)],
+        [(None, 5.0)],
+        [(at("01 23:50"), 8.0), (at("02 00:30"), 16.0)],
+        [(at("02 03:00"), 1.0)],
+    ]
+    frames = [spark.createDataFrame(rows, schema) for rows in batches]
+    stream = files.stream_files(spark, land(frames), frames[0].schema, files_per_batch=1)
+    files.finish(totals.start_running_totals(stream, "1h", work))
+    rows = totals.read_running_totals(spark, work).orderBy("window_start").collect()
+    assert [r.day_revenue_cents for r in rows] == [100, 1500, 1600]
+    assert [r.day_order_count for r in rows] == [1, 4, 1]
+
+
+def test_windows_of_a_hot_customer(spark, land, work):
+    """One customer has half of all orders, one is null; each batch sends few rows."""
+    rows = spark.range(40_000).select(
+        (F.lit(1_704_067_200) + F.col("id") * 10).cast("timestamp").alias("event_time"),
+        (F.col("id") % 7).cast("double").alias("amount"),
+        F.when(F.col("id") % 2 == 0, 0)
+        .when(F.col("id") % 5 != 0, F.col("id") % 100)
+        .cast("long")
+        .alias("user_id"),
+        "id",
+    )
+    path = land(parts(rows, "id", 3))
+    stream = files.stream_files(spark, path, rows.schema, files_per_batch=1)
+    query = totals.start_keyed_metrics(stream, "24h", ["user_id"], work)
+    files.finish(query)
+    closed = metrics.windowed_metrics(rows, "24h", by=["user_id"]).where(
+        F.col("window_end") <= F.timestamp_seconds(F.lit(1_704_067_200 + 399_990 - 60))
+    )
+    found = totals.read_keyed_metrics(spark, work, rows.select("user_id").schema)
+    assert same(found.select(*closed.columns), closed) and closed.count() > 100
+    assert closed.where("user_id is null").count() == 4
+
+
 @pytest.mark.parametrize("fail_at", [3, 8])
 def test_ingest_tables_agree_after_a_failure(spark, folder, land, work, broken, fail_at):
     requests = tables.requests(tables.events(spark, folder)).drop("partition", "offset")

@@ -556,6 +556,12 @@ ORACLE.update(
         "windowed_metrics_stream": _records(
             " UNION ALL ".join(_filled(size, _closed(size)) for size in _WIDTH)
         ),
+        "customer_windows_stream": f"""
+            SELECT * FROM ({ORACLE["metrics_per_customer_24h"]})
+            WHERE window_start_ms IN (SELECT epoch_us(ws) // 1000 FROM ({_closed("24h")}))""",
+        "running_totals_stream": ORACLE["metrics_running_daily_reset"].replace(
+            _windows("1h"), _closed("1h")
+        ),
         "order_count_snapshot_stream": f"""
             SELECT CAST({AS_OF_MS} - 60000 AS BIGINT) AS "windowStart",
                    CAST({AS_OF_MS} AS BIGINT) AS "windowEnd", '1m' AS "windowSize",

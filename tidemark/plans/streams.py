@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config as C
 from tidemark.config import RetryPolicy
-from tidemark.functions import retry, times
+from tidemark.functions import money, retry, times
 from tidemark.operators import metrics, ordered
 from tidemark.plans.queries import EVENT_ORDER, KEY, as_of, flag, flaky_publish, query, refuse_empty
 from tidemark.session import new_folder, settle
@@ -25,6 +25,7 @@ from tidemark.streaming import (
     late,
     relay,
     snapshot,
+    totals,
 )
 from tidemark.streaming import metrics as live
 
@@ -165,6 +166,36 @@ def windowed_metrics_batches_stream(spark, folder):
     return metrics.metric_records(live.read_metrics(spark, out), as_of())
 
 
+@query
+def customer_windows_stream(spark, folder):
+    """Closed days per customer, from three batches."""
+    out = new_folder(spark, "customers")
+    orders = tables.purchases(_event_batches(spark, folder, _micros("ts")))
+    files.finish(totals.start_keyed_metrics(orders, "24h", ["user_id"], out))
+    keys = orders.select("user_id").schema
+    return totals.read_keyed_metrics(spark, out, keys).select(
+        times.millis(F.col("window_start")).alias("window_start_ms"),
+        "user_id",
+        "order_count",
+        money.hundredths_text(F.col("revenue_cents")).alias("total_revenue"),
+    )
+
+
+@query
+def running_totals_stream(spark, folder):
+    """Closed hours with the totals so far on their day, from three batches."""
+    out = new_folder(spark, "totals")
+    orders = tables.purchases(_event_batches(spark, folder, _micros("ts")))
+    files.finish(totals.start_running_totals(orders, "1h", out))
+    return totals.read_running_totals(spark, out).select(
+        times.millis(F.col("window_start")).alias("window_start_ms"),
+        "order_count",
+        "revenue_cents",
+        "day_order_count",
+        "day_revenue_cents",
+    )
+
+
 @query
 def order_count_snapshot_batches_stream(spark, folder):
     out = new_folder(spark, "snapshot")
