@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -15,6 +16,7 @@ from tidemark.operators import (
     rules,
 )
 from tidemark.schemas import OUTBOX_EVENTS
+from tidemark.sources import store as layout
 
 UTC = timezone.utc
 T0 = datetime(2024, 1, 1, tzinfo=UTC)
@@ -350,6 +352,67 @@ def test_apply_status(spark):
     assert run(False)[2] == ("b", "FULFILLED", True)
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def keyed_rows(spark, count=60):
+    """Codes with several rows each, and rows without one."""
+    return spark.range(count).select(
+        F.when(F.col("id") % 10 < 9, F.format_string("c%d", F.col("id") % 20)).alias("code"),
+        F.lit("PENDING").alias("status"),
+        F.lit(T0).alias("updated_at"),
+        F.col("id").alias("n"),
+    )
+
+
+def test_a_bucketed_store_is_not_shuffled(spark, no_broadcast):
+    rows = keyed_rows(spark)
+    stored = layout.bucketed(rows, "code", "orders")
+    assert sorted(stored.collect(), key=str) == sorted(rows.collect(), key=str)
+    hits = spark.createDataFrame([("c3",), ("c3",), ("c4",), (None,)], "code string")
+    moved = orders.apply_status(stored, hits, "code", "FULFILLED", F.lit(at(60)))
+    plan = plan_of(moved)
+    # The one exchange is that of the events.
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    plain = orders.apply_status(rows, hits, "code", "FULFILLED", F.lit(at(60)))
+    assert sorted(moved.collect(), key=str) == sorted(plain.collect(), key=str)
+    assert moved.where("status = 'FULFILLED'").select("code").distinct().count() == 2
+
+
+def test_stores_of_one_layout_join_in_place(spark, no_broadcast):
+    placed = keyed_rows(spark).select("code").distinct()
+    lines = keyed_rows(spark).where("n % 20 < 15").select("code", "n")
+    both = orders.with_items(
+        layout.bucketed(placed, "code", "placed", 4), layout.bucketed(lines, "code", "lines", 4), "code"
+    )
+    assert "Exchange" not in plan_of(both)
+    plain = orders.with_items(placed, lines, "code")
+    assert sorted(both.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_a_lookup_reads_its_buckets_only(spark):
+    stored = layout.bucketed(keyed_rows(spark), "code", "orders", 16)
+    found = layout.find(stored, "code", ["c3", "c4"])
+    assert found.select("code").distinct().count() == 2 and found.count() == 6
+    # The plan names the selected buckets only where it reads one bucket per task.
+    auto = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    spark.conf.set(auto, "false")
+    found = layout.find(stored, "code", ["c3", "c4"])
+    plan = plan_of(found)
+    spark.conf.unset(auto)
+    (selected,) = set(re.findall(r"SelectedBucketsCount: (\d+) out of 16", plan))
+    assert int(selected) <= 2
+    assert layout.bucketed(keyed_rows(spark, 0), "code", "none", 4).count() == 0
+
+
 def test_first_event_per_order_survives_a_hot_key(spark):
     rows = [("hot" if i % 3 else f"k{i}", i) for i in range(600)]
     frame = spark.createDataFrame(rows, "code string, ts int").repartition(6)

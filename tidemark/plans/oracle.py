@@ -467,6 +467,7 @@ ORACLE: dict[str, str] = {
             FROM done)
         WHERE p = 1 AND code NOT IN (SELECT code FROM store WHERE status = 'FULFILLED')""",
     "status_apply": _status_apply("(hit.code IS NOT NULL AND status = 'PENDING')"),
+    "status_apply_bucketed": _status_apply("(hit.code IS NOT NULL AND status = 'PENDING')"),
     "status_apply_unguarded": _status_apply("(hit.code IS NOT NULL)"),
     "furthest_status": f"""{_WITH_STORE}
         SELECT code AS order_short_code,
@@ -551,6 +552,8 @@ _PURCHASE_LINES = """
     SELECT event_id, ts, CAST(props->>'$.k' AS INTEGER) % 3 + 1 AS lines
     FROM events WHERE event_type = 'purchase'"""
 
+ORACLE["order_item_join_bucketed"] = ORACLE["order_item_join"]
+
 ORACLE.update(
     {
         "windowed_metrics_stream": _records(

@@ -21,7 +21,7 @@ from tidemark.operators import (
     rules,
 )
 from tidemark.session import prepare, settle
-from tidemark.sources import messages, tables, topics, wire
+from tidemark.sources import messages, store, tables, topics, wire
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -196,6 +196,17 @@ def order_item_join(spark, folder):
     )
 
 
+@query
+def order_item_join_bucketed(spark, folder):
+    """The same join of two stores laid out by the order's key: neither is shuffled."""
+    placed = tables.placed_orders(spark, folder).select(KEY, "customer_id")
+    return orders.with_items(
+        store.bucketed(placed, KEY, "placed"),
+        store.bucketed(tables.order_lines(spark, folder), KEY, "lines"),
+        KEY,
+    )
+
+
 def _tagged(spark: SparkSession, folder: str) -> DataFrame:
     return ordered.tag_late(
         tables.arrivals(tables.events(spark, folder)), ["arrived_at", "event_id"]
@@ -644,10 +655,13 @@ def fulfilled_dedupe(spark, folder):
     return fresh.select(KEY, times.millis(F.col("fulfilled_at")).alias("fulfilled_at_ms"))
 
 
-def _applied(spark: SparkSession, folder: str, guard_regression: bool) -> DataFrame:
+def _applied(
+    spark: SparkSession, folder: str, guard_regression: bool, stored: DataFrame | None = None
+) -> DataFrame:
     done = tables.fulfilled(spark, folder)
+    known = tables.stored_orders(spark, folder) if stored is None else stored
     return orders.apply_status(
-        tables.stored_orders(spark, folder), done, KEY, "FULFILLED", as_of(), guard_regression
+        known, done, KEY, "FULFILLED", as_of(), guard_regression
     ).select(KEY, "status", times.millis(F.col("updated_at")).alias("updated_at_ms"))
 
 
@@ -661,6 +675,13 @@ def status_apply_unguarded(spark, folder):
     return _applied(spark, folder, guard_regression=False)
 
 
+@query
+def status_apply_bucketed(spark, folder):
+    """The update on a store laid out by code: only the events are shuffled."""
+    stored = store.bucketed(tables.stored_orders(spark, folder), KEY, "orders")
+    return _applied(spark, folder, guard_regression=True, stored=stored)
+
+
 @query
 def furthest_status(spark, folder):
     """Stored status and fulfilled events of an order folded into one status."""
