@@ -38,3 +38,26 @@ def test_last_turn_tests_every_pair_of_a_bucket_without_all_pairs_at_once(spark)
     assert sorted(tuple(r) for r in roots.collect()) == [(5, 5), (9, 5)]
     # Before, the last turn asked all 55 pairs that the hub left in one step.
     assert max(map(len, batches)) < 55
+
+
+def test_no_round_without_pairs_and_only_joined_classes_are_contracted(spark, monkeypatch):
+    nodes = spark.createDataFrame([(i, 10, 0) for i in range(6)], "node long, size long, mark long")
+    members = spark.createDataFrame([(1, i) for i in range(6)], "bucket long, node long")
+    similar = spark.createDataFrame([(0, 1), (0, 2), (2, 4), (3, 5)], "a long, b long")
+    asked, contracted, components = [], [], grouping.components
+
+    def verify(pairs, content):
+        asked.append(pairs.count())
+        return pairs.join(similar, ["a", "b"], "semi")
+
+    def counted(edges):
+        contracted.append(edges.count())
+        return components(edges)
+
+    monkeypatch.setattr(grouping, "components", counted)
+    roots = grouping.link_classes(nodes, members, grouping.near_sizes(0.5), lambda ids: ids, verify)
+    found = sorted(tuple(r) for r in roots.collect())
+    assert found == [(0, 0), (1, 0), (2, 0), (3, 3), (4, 0), (5, 3)]
+    # Before, the hub met the same nodes again in two rounds, and each round took up all links.
+    assert all(asked)
+    assert contracted[0] == 2 and sum(contracted) == 4
