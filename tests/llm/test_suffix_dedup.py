@@ -107,3 +107,31 @@ def test_awkward_rows(spark):
 
 def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(cases.empty(spark)).count() == 0
+
+
+def test_blocks_that_share_an_anchor_alone_need_no_suffix_array(monkeypatch):
+    """Equal anchors in different surroundings: only blocks with a repeated string are sorted."""
+    drawn = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def block(middle):
+        sides = ["".join(drawn.choices(letters, k=25)).encode() for _ in range(2)]
+        return sides[0] + middle + sides[1]
+
+    anchor, passage = b"one anchor of 16", b"a passage that is fifty bytes long, or more than so"
+    contents = [block(anchor) for _ in range(40)] + [block(passage) for _ in range(3)]
+    sorted_blocks, part = [], suffix_dedup.Part
+
+    def counted(blocks, ids):
+        sorted_blocks.extend(blocks)
+        return part(blocks, ids)
+
+    monkeypatch.setattr(suffix_dedup, "Part", counted)
+    ids = np.arange(len(contents))
+    masks = suffix_dedup._masks(contents, np.zeros(len(contents), np.uint32), ids, 1 << 20)
+    strings = [{c[i : i + 50] for i in range(len(c) - 49)} for c in contents]
+    for i, content in enumerate(contents):
+        earlier = set().union(*strings[:i])
+        assert int(masks[i]) == sum(1 << k for k in range(len(content) - 49) if content[k : k + 50] in earlier)
+    # Before, all 43 blocks were sorted.
+    assert sorted_blocks == contents[40:]

@@ -14,9 +14,9 @@ document falls into blocks: an anchor and the consecutive strings that belong to
    which of its anchors other shards have too.
 2. Blocks of such anchors, and of anchors that two documents of the shard have, go to their
    bucket, equal blocks once per shard with their least id.
-3. A block whose anchor has no other content is settled: its strings are nowhere else. Over
-   the other distinct blocks a bucket builds suffix arrays by Larsson-Sadakane refinement, in
-   parts of bounded size, reads the common prefixes by Kasai's rule, and takes the least id of
+3. A block whose anchor has no other content is settled: its strings are nowhere else. So is
+   one of whose strings no hash occurs again. Over the other distinct blocks a bucket builds suffix arrays by Larsson-Sadakane refinement, in
+   parts of bounded size, reads the common prefixes eight bytes at a time, and takes the least id of
    each group of equal strings. Parts are merged by binary search in their sorted strings.
    A mask per block says which of its strings an earlier document has.
 4. The text shards apply the masks.
@@ -33,6 +33,7 @@ its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -65,12 +66,18 @@ RESULT = (
 )
 
 
+@cache
+def _zstd() -> tuple:
+    """One pair a process: making one takes longer than packing a small message."""
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
 def _packed(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return _zstd()[0].compress(data)
 
 
 def _opened(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
+    return _zstd()[1].decompress(data)
 
 
 # --- text shards -------------------------------------------------------------
@@ -338,29 +345,25 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
 def common_prefixes(data: np.ndarray, order: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
     """Common prefix of each suffix with the one before it in order, up to the largest block.
 
-    Kasai's rule: one place further on, the common prefix is at most one byte shorter. All
-    blocks are walked in step, so each array operation serves one place of every block.
+    All pairs go on in step, eight bytes at a time, until they differ; the first byte that
+    differs is read off the two words. The number of steps has a bound from the largest block,
+    so small parts take no longer than their bytes do.
     """
     n, most = len(data), int(sizes.max(initial=0)) + LENGTH
-    before = np.full(n, -1, np.int64)
-    before[order[1:]] = order[:-1]
-    padded = np.concatenate([data, np.zeros(1, np.uint8)])
+    eight = np.append(words_at(data, "<u8"), np.uint64(0))
+    one, other = order[1:], order[:-1]
+    limit = np.minimum(n - np.maximum(one, other), most)
+    length = np.zeros(len(one), np.int64)
+    going = np.arange(len(one))
+    while len(going):
+        at = length[going]
+        apart = eight[one[going] + at] ^ eight[other[going] + at]
+        # The lowest bit set says how many bytes are equal; none set is eight of them.
+        low = apart & (~apart + np.uint64(1))
+        length[going] = at + np.where(apart == 0, 64, np.bitwise_count(low - np.uint64(1))) // 8
+        going = going[(apart == 0) & (length[going] < limit[going])]
     prefix = np.zeros(n, np.int64)
-    length = np.zeros(len(starts), np.int64)
-    for place in range(int(sizes.max(initial=0))):
-        active = np.flatnonzero(sizes > place)
-        at = starts[active] + place
-        other = before[at]
-        own = np.where(other < 0, 0, np.maximum(length[active] - 1, 0))
-        going = np.flatnonzero(other >= 0)
-        while len(going):
-            a, b = at[going] + own[going], other[going] + own[going]
-            more = (a < n) & (b < n) & (own[going] < most)
-            more &= padded[np.minimum(a, n)] == padded[np.minimum(b, n)]
-            going = going[more]
-            own[going] += 1
-        length[active] = own
-        prefix[at] = own
+    prefix[one] = np.minimum(length, limit)
     return prefix
 
 
@@ -422,11 +425,42 @@ def merge_parts(parts: list[Part]) -> None:
         part.least = least
 
 
+def _may_repeat(contents: list[bytes], part_bytes: int) -> np.ndarray:
+    """Whether a block has a string that stands in these blocks again, or one of its hash.
+
+    Anchors are 16 bytes and recur by chance the more the larger the corpus is; strings of
+    ``LENGTH`` bytes do not. A block none of whose hashes recurs has no string to lose.
+    """
+    sizes = np.array([len(c) for c in contents], np.int64)
+    cuts = np.unique(np.cumsum(sizes) // part_bytes, return_index=True)[1][1:]
+    hashes = []
+    for group in np.split(np.arange(len(contents)), cuts):
+        counts = sizes[group] - LENGTH + 1
+        starts = np.cumsum(sizes[group]) - sizes[group]
+        place = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        data = b"".join([contents[i] for i in group])
+        eight = words_at(np.frombuffer(data, np.uint8), "<u8")
+        found = eight[place]
+        for step in [*range(8, LENGTH - 7, 8), LENGTH - 8]:
+            found = (found ^ (found >> np.uint64(32))) * ODD + eight[place + step]
+        hashes.append(mix(found))
+    every = np.concatenate(hashes)
+    order = np.sort(every)
+    again = np.unique(order[1:][order[1:] == order[:-1]])
+    if not len(again):
+        return np.zeros(len(contents), bool)
+    at = np.minimum(np.searchsorted(again, every), len(again) - 1)
+    counts = sizes - LENGTH + 1
+    return np.add.reduceat(again[at] == every, np.cumsum(counts) - counts) > 0
+
+
 def _masks(contents: list[bytes], anchors: np.ndarray, ids: np.ndarray, part_bytes: int):
     """Per distinct content, the strings that a document before its least one has."""
     out = np.zeros(len(contents), np.uint64)
     _, kind, times = np.unique(anchors, return_inverse=True, return_counts=True)
     open_ones = np.flatnonzero(times[kind] > 1)
+    if len(open_ones):
+        open_ones = open_ones[_may_repeat([contents[i] for i in open_ones], part_bytes)]
     if not len(open_ones):
         return out
     # Blocks of one anchor stand together, so that few strings lie in two parts.
@@ -443,50 +477,38 @@ def _masks(contents: list[bytes], anchors: np.ndarray, ids: np.ndarray, part_byt
 
 def _judge(part_bytes: int):
     def judge(group: pa.Table) -> pa.Table:
-        rows = []
-        for sizes, keys, ids, packed in zip(
-            *(group[n].to_pylist() for n in ("sizes", "anchors", "ids", "packed"))
-        ):
-            ends = np.cumsum(np.frombuffer(sizes, np.uint8).astype(np.int64))
-            starts = np.concatenate([[0], ends[:-1]])
-            rows.append(
-                (
-                    _opened(packed),
-                    starts,
-                    ends,
-                    np.frombuffer(keys, "<u4"),
-                    np.frombuffer(_opened(ids), np.int64),
-                    np.zeros(len(ends), np.uint64),
-                )
-            )
+        # The messages of all shards as one: a large corpus has many small ones a bucket.
+        counts = [len(sizes) for sizes in group["sizes"].to_pylist()]
+        sizes = np.frombuffer(b"".join(group["sizes"].to_pylist()), np.uint8).astype(np.int64)
+        keys = np.frombuffer(b"".join(group["anchors"].to_pylist()), "<u4")
+        ids = np.frombuffer(b"".join(map(_opened, group["ids"].to_pylist())), np.int64)
+        data = b"".join(map(_opened, group["packed"].to_pylist()))
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        replies = np.zeros(len(sizes), np.uint64)
         for turn in range(TURNS):
-            known: dict[bytes, int] = {}
-            picked, entries = [], []
-            for data, starts, ends, keys, _, _ in rows:
-                at = np.flatnonzero(keys % TURNS == turn)
-                spans = zip(starts[at].tolist(), ends[at].tolist())
-                own = [known.setdefault(data[a:b], len(known)) for a, b in spans]
-                picked.append(at)
-                entries.append(np.array(own, np.int64))
-            if not known:
+            at = np.flatnonzero(keys % TURNS == turn)
+            if not len(at):
                 continue
+            known: dict[bytes, int] = {}
+            spans = zip(starts[at].tolist(), ends[at].tolist())
+            own = np.array([known.setdefault(data[a:b], len(known)) for a, b in spans], np.int64)
             least = np.full(len(known), LAST_ID, np.int64)
+            np.minimum.at(least, own, ids[at])
             anchors = np.zeros(len(known), np.uint32)
-            for (_, _, _, keys, ids, _), at, own in zip(rows, picked, entries):
-                np.minimum.at(least, own, ids[at])
-                anchors[own] = keys[at]
+            anchors[own] = keys[at]
             contents = list(known)
             masks = _masks(contents, anchors, least, part_bytes)
             lengths = np.array([len(c) for c in contents], np.uint64)
             every = (np.uint64(1) << (lengths - np.uint64(LENGTH - 1))) - np.uint64(1)
-            for (_, _, _, _, ids, replies), at, own in zip(rows, picked, entries):
-                replies[at] = np.where(ids[at] > least[own], every[own], masks[own])
+            replies[at] = np.where(ids[at] > least[own], every[own], masks[own])
+        parts = np.split(replies, np.cumsum(counts)[:-1])
         return pa.table(
             {
                 "shard": group["shard"],
-                "step": pa.array([2] * len(rows), pa.int32()),
+                "step": pa.array([2] * len(parts), pa.int32()),
                 "bucket": group["bucket"],
-                "masks": pa.array([_packed(row[-1].tobytes()) for row in rows], pa.binary()),
+                "masks": pa.array([_packed(part.tobytes()) for part in parts], pa.binary()),
             }
         )
 
@@ -504,9 +526,12 @@ def _apply(buckets: int):
         blocks = shard.shared(_masks_of(replies, 1))
         entry, _, ids, anchors = shard.entries(blocks)
         bucket = (anchors >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
         masks = np.zeros(len(ids), np.uint64)
         for kind, packed in _masks_of(replies, 2).items():
-            masks[np.flatnonzero(bucket == kind)] = np.frombuffer(_opened(packed), np.uint64)
+            low, high = np.searchsorted(bucket, [kind, kind + 1])
+            masks[order[low:high]] = np.frombuffer(_opened(packed), np.uint64)
         count = shard.count[blocks].astype(np.uint64)
         later = shard.ids[shard.doc[blocks]] > ids[entry]
         mask = np.where(later, (np.uint64(1) << count) - np.uint64(1), masks[entry])
