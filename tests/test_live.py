@@ -7,7 +7,9 @@ from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.config import RetryPolicy
 from tidemark.functions import retry
@@ -319,3 +321,105 @@ def test_shard_totals_do_not_depend_on_arrival(spark, land, work, seed):
                 want.add((shard, n, total))
     found = snapshot.read_shards(spark, f"{work}/out").collect()
     assert len(found) == len(want) and {tuple(r) for r in found} == want
+
+
+class FakeState:
+    """The state of one grouping key; counts the calls, each of which leaves the process."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def getValueState(self, name, schema, ttl=None):
+        return self
+
+    def getListState(self, name, schema, ttl=None):
+        return FakeState()
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_a_bucket_does_what_its_codes_do_with_a_few_state_calls(spark, seed):
+    drawn = random.Random(seed)
+    event = StructType.fromDDL("code string, line int, part int")
+    codes = [f"c{i}" for i in range(30)]
+    kinds = ["PENDING", "FULFILLED", "SHIPPED", "odd", None]
+    stored = [(drawn.choice(codes[:20]), drawn.choice(kinds)) for _ in range(25)]
+    batches = []
+    for _ in range(4):
+        rows = []
+        for number in range(60):
+            code = drawn.choice(codes)
+            if drawn.random() < 0.1:
+                rows.append(Row(code=code, kind="order", status=drawn.choice(kinds), event=None))
+            else:
+                values = {"code": code, "line": drawn.choice([None, 1, 2, 3]), "part": number}
+                rows.append(Row(code=code, kind="event", status=None, event=values))
+        batches.append(rows)
+
+    def outcomes(processor, state, key, rows):
+        processor.init(state)
+        return [tuple(r) for r in processor.handleInputRows(key, iter(rows), None)]
+
+    one_by_one, states = [], {code: FakeState() for code in codes}
+    single = keyed_status.StatusProcessor("code", event, ["line", "part"], "FULFILLED", 0, 0)
+    for code, status in stored:
+        single.init(states[code])
+        single.handleInitialState((code,), Row(status=status), None)
+    for rows in batches:
+        found = []
+        for code in codes:
+            own = [row for row in rows if row.code == code]
+            found += outcomes(single, states[code], (code,), own) if own else []
+        one_by_one.append(found)
+    state, together = FakeState(), keyed_status.BucketProcessor("code", event, ["line", "part"], "FULFILLED")
+    together.init(state)
+    orders = [{"code": code, "status": status} for code, status in stored]
+    together.handleInitialState((0,), Row(bucket=0, orders=orders), None)
+    for rows, want in zip(batches, one_by_one):
+        found = outcomes(together, state, (0,), rows)
+        assert sorted(map(str, found)) == sorted(map(str, want))
+    # Before, each of the 30 codes had state of its own: some hundred calls.
+    assert state.calls <= 3 * (len(batches) + 1)
+
+
+def test_new_orders_without_a_wait(spark, land, work):
+    """An order that comes with its events or before them counts; earlier events were unknown."""
+    store = spark.createDataFrame([("a", "PENDING"), (None, "PENDING")], "code string, status string")
+    events, orders = f"{work}/events", f"{work}/orders"
+    spark.createDataFrame([], EVENT).write.parquet(events)
+    spark.createDataFrame([], "code string, status string").write.parquet(orders)
+    steps = [
+        ([("n", at(1), 1), ("m", at(3), 2), ("m", at(2), 3), ("a", at(1), 4)], [("m", "PENDING")]),
+        ([("n", at(2), 5), ("m", at(0), 6)], [("n", "PENDING"), ("a", "PENDING"), (None, "PENDING")]),
+        ([("n", at(0), 7), ("a", at(0), 8)], []),
+    ]
+    for sent, made in steps:
+        for path, rows, schema in ((events, sent, EVENT), (orders, made, "code string, status string")):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        outcomes = keyed_status.status_outcomes(
+            files.stream_files(spark, events),
+            store,
+            "code",
+            ["fulfilled_at", "line"],
+            new_orders=files.stream_files(spark, orders),
+        )
+        assert "bucket" in outcomes._jdf.queryExecution().logical().toString()
+        files.finish(keyed_status.start_keyed_status(outcomes, f"{work}/status"))
+    rows = keyed_status.read_outcomes(spark, f"{work}/status", outcomes.schema).collect()
+    assert sorted((r.code, r.outcome, r.event.line) for r in rows) == [
+        ("a", "changed", 4),
+        ("m", "changed", 3),
+        ("n", "changed", 5),
+        ("n", "unknown", 1),
+    ]

@@ -9,10 +9,15 @@ beyond the time a repeat may take.
 
 An event without an order waits ``wait`` for it. Then a timer of its code puts it out as
 ``unknown``; without a wait it is put out at once.
+
+Only waits and times to live need state of a single code. Without them the state of a bucket of
+codes is one value, as each call from Python to the state store takes far longer than a row does.
+The bucket of a code must stay the same, so ``BUCKETS`` must too while a checkpoint is in use.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from datetime import timedelta
 from typing import Any
@@ -20,13 +25,15 @@ from typing import Any
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from tidemark.config import ORDER_STATUSES
 from tidemark.sources import files
 from tidemark.streaming import retries
 
 CHANGED, UNKNOWN = "changed", "unknown"
+# Values of the state without waits: each holds the codes of a bucket with their statuses.
+BUCKETS = 4096
 
 
 def _rank(status: str | None) -> int:
@@ -106,6 +113,70 @@ class StatusProcessor(StatefulProcessor):
             yield self._row(key, CHANGED, old, first)
 
 
+class BucketProcessor(StatusProcessor):
+    """A bucket of order codes: the ``status`` of each known one, as one value."""
+
+    def __init__(self, key: str, event: StructType, order: list[str], status: str):
+        super().__init__(key, event, order, status, 0, 0)
+        self._places = [event.fieldNames().index(name) for name in order]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        known = StructType([StructField("statuses", BinaryType())])
+        self._known = handle.getValueState("known", known)
+
+    def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
+        statuses = self._read()
+        for order in initialState.orders:
+            _raise(statuses, order["code"], order["status"])
+        self._write(statuses)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        statuses, learned, firsts, unmet = self._read(), False, {}, {}
+        for row in rows:
+            code = row[self._key]
+            if row.kind == "order":
+                learned |= _raise(statuses, code, row.status)
+            elif code not in statuses:
+                unmet.setdefault(code, []).append(self._values(row.event))
+            elif _rank(statuses[code]) < _rank(self._status):  # or an order may come yet
+                event = self._values(row.event)
+                firsts[code] = min(firsts.get(code, event), event, key=self._place)
+        for code, events in unmet.items():
+            if code not in statuses:
+                for event in events:
+                    yield self._row((code,), UNKNOWN, None, event)
+            else:  # its order came after it in this batch
+                later = [firsts[code]] if code in firsts else []
+                firsts[code] = min(events + later, key=self._place)
+        changed = [code for code in firsts if self._open(statuses[code])]
+        for code in changed:
+            yield self._row((code,), CHANGED, statuses[code], firsts[code])
+            statuses[code] = self._status
+        if learned or changed:
+            self._write(statuses)
+
+    def _read(self) -> dict[Any, str | None]:
+        found = self._known.get() if self._known.exists() else None
+        return pickle.loads(found[0]) if found else {}
+
+    def _write(self, statuses: dict[Any, str | None]) -> None:
+        self._known.update((pickle.dumps(statuses),))
+
+    def _open(self, status: str | None) -> bool:
+        return status is not None and _rank(status) < _rank(self._status)
+
+    def _place(self, event: tuple) -> list[tuple]:
+        return [_sortable(event[place]) for place in self._places]
+
+
+def _raise(statuses: dict[Any, str | None], code: Any, status: str | None) -> bool:
+    """Learn the status of an order, which never moves back; whether it is news."""
+    if code in statuses and _rank(statuses[code]) >= _rank(status):
+        return False
+    statuses[code] = status
+    return True
+
+
 def _sortable(value: Any) -> tuple:
     """Nulls first, as Spark sorts them."""
     return (value is not None, value)
@@ -154,17 +225,42 @@ def status_outcomes(
             StructField("event", event),
         ]
     )
+    if not wait and not ttl:
+        return _by_bucket(
+            rows, stored, key, BucketProcessor(key, event, event_order, status), result
+        )
     in_ms = [int(span.total_seconds() * 1000) for span in (wait, ttl)]
     processor = StatusProcessor(key, event, event_order, status, *in_ms)
     return rows.groupBy(key).transformWithState(
         processor,
         outputStructType=result,
         outputMode="Append",
-        timeMode="ProcessingTime" if wait or ttl else "None",
+        timeMode="ProcessingTime",
         initialState=stored.select(key, "status").groupBy(key),
     )
 
 
+def _by_bucket(
+    rows: DataFrame, stored: DataFrame, key: str, processor: BucketProcessor, result: StructType
+) -> DataFrame:
+    """The stored orders of a bucket are one row of the initial state."""
+    code = F.col(key).cast(rows.schema[key].dataType)
+    bucket = F.pmod(F.xxhash64(code), F.lit(BUCKETS)).cast("int").alias("bucket")
+    orders = (
+        stored.where(F.col(key).isNotNull())
+        .select(bucket, F.struct(code.alias("code"), "status").alias("order"))
+        .groupBy("bucket")
+        .agg(F.collect_list("order").alias("orders"))
+    )
+    return rows.select(bucket, "*").groupBy("bucket").transformWithState(
+        processor,
+        outputStructType=result,
+        outputMode="Append",
+        timeMode="None",
+        initialState=orders.groupBy("bucket"),
+    )
+
+
 def start_keyed_status(outcomes: DataFrame, folder: str, interval: str | None = None):
     """Append what ``status_outcomes`` says to ``folder/outcomes``, by batch.
 
